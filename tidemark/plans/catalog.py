@@ -17,6 +17,7 @@ PLACES = {
     "grid": views.COARSE_GRID,
     "window": views.COARSE_WINDOW,
     "slide": views.COARSE_SLIDE,
+    "threshold": views.COARSE_THRESHOLD,
 }
 CAR_GAP = "6 hours"
 LAG_MS = 5000
@@ -53,13 +54,13 @@ def grid_cells(spark, sf_dir):
     return cells.select("ride_id", "ts", "cell", lon.alias("lon"), lat.alias("lat"))
 
 
-def popular_places(spark, sf_dir, threshold=10):
-    return operators.popular_places(views.rides(spark, sf_dir), threshold=threshold, **PLACES)
+def popular_places(spark, sf_dir):
+    return operators.popular_places(views.rides(spark, sf_dir), **PLACES)
 
 
 def popular_places_stream(spark, sf_dir):
     rides = streaming.with_ride_watermark(views.rides(spark, sf_dir, stream=True))
-    return run_appending(operators.popular_places(rides, threshold=10, **PLACES))
+    return run_appending(operators.popular_places(rides, **PLACES))
 
 
 def place_documents(spark, sf_dir):
@@ -260,4 +261,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return popular_places(spark, sf_dir, threshold=2)
+    return popular_places(spark, sf_dir)

@@ -75,7 +75,7 @@ def grid_cells() -> str:
         select ride_id, ts, cell, {lon} as lon, {lat} as lat from cells"""
 
 
-def _places(threshold: int, closed: bool) -> str:
+def _places(closed: bool) -> str:
     lon, lat = _center("cell")
     start = _cell("start_lon", "start_lat")
     end = _cell("end_lon", "end_lat")
@@ -96,16 +96,16 @@ def _places(threshold: int, closed: bool) -> str:
             from panes, range(3) r(i) group by all),
         places as (
             select cell, {lon} as lon, {lat} as lat, epoch_ms(window_end) as window_end, is_start, cnt
-            from counts where cnt > {threshold} {cut})"""
+            from counts where cnt > {views.COARSE_THRESHOLD} {cut})"""
 
 
-def popular_places(threshold: int = 10, closed: bool = False) -> str:
-    return f"""with {_places(threshold, closed)}
+def popular_places(closed: bool = False) -> str:
+    return f"""with {_places(closed)}
         select lon, lat, window_end, is_start, cnt from places"""
 
 
-def place_documents(threshold: int = 10) -> str:
-    return f"""with {_places(threshold, False)}
+def place_documents() -> str:
+    return f"""with {_places(closed=False)}
         select concat_ws('-', cast(lon as varchar), cast(lat as varchar),
                          cast(is_start as varchar), cast(window_end as varchar)) as id,
                '{{"time":"' || window_end || '","location":"' || cast(lat as varchar) || ','

@@ -14,6 +14,7 @@ from tidemark.functions.geo import Grid
 # A grid and window coarse enough for the small tables to have popular places.
 COARSE_GRID = Grid(west=-74.05, north=41.0, cell_lon=0.0875, cell_lat=0.125, columns=4)
 COARSE_WINDOW, COARSE_SLIDE = "24 hours", "8 hours"
+COARSE_THRESHOLD = 2
 
 _SECONDS = "(60 + cast(round(value * 100) as bigint) % 3600)"
 _IS_START = "event_type in ('signup', 'view')"
