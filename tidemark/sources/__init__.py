@@ -1,4 +1,9 @@
-from tidemark.sources.documents import place_documents, write_place_documents
+from tidemark.sources.documents import (
+    folder_writer,
+    index_writer,
+    place_documents,
+    write_place_documents,
+)
 from tidemark.sources.readers import (
     CAR_EVENT_SCHEMA,
     RIDE_SCHEMA,
@@ -17,6 +22,8 @@ from tidemark.sources.records import (
 __all__ = [
     "CAR_EVENT_SCHEMA",
     "RIDE_SCHEMA",
+    "folder_writer",
+    "index_writer",
     "place_documents",
     "read_car_events",
     "read_ride_topic",

@@ -10,7 +10,8 @@ from tidemark.sources.readers import CORRUPT, RIDE_SCHEMA
 # Fixed value: the topic that rides are published to.
 RIDE_TOPIC = "rides"
 
-_CSV = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+# Times are written in UTC whatever the session; fractions may be missing when read.
+_CSV = {"timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "timeZone": "UTC"}
 
 
 def rides_to_records(rides: DataFrame) -> DataFrame:
