@@ -112,7 +112,7 @@ def test_cuts_are_thinned(cars, monkeypatch):
 def test_search_over_several_blocks(spark):
     many = spark.range(2000).withColumn("v", F.col("id") % 7)
     hot = find_hot_keys(many, [], ["id"], 5)
-    assert hot.count > 3 * hot_keys.SEARCH_BLOCK
+    assert hot.count > 3 * 64
     out = ordered(many, [], ["id"], hot).with_running(Running("total", "sum", F.col("v"))).rows()
     want, total = [], 0
     for i in range(2000):

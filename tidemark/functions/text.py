@@ -8,6 +8,5 @@ def words(text: Column) -> Column:
     """Lower-cased words of ``text``, in order, as an array.
 
     Anything but ``[a-zA-Z0-9_]`` separates words, so accented letters do too.
-    Text that starts with a separator yields no empty first word.
     """
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda w: F.length(w) > 0)
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))

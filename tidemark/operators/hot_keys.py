@@ -20,11 +20,10 @@ from pyspark.sql import functions as F
 ROWS_PER_PIECE = 4_000_000
 SAMPLES_PER_PIECE = 100
 MAX_PIECES = 16_384
-SEARCH_BLOCK = 64
 
+_HOT = "__hot"
 _PIECE = "__piece"
 _CUTS = "__cuts"
-_HEADS = "__heads"
 
 
 @dataclass(frozen=True)
@@ -83,7 +82,7 @@ class Ordered:
 
     @property
     def partition(self) -> list[str]:
-        return [*self.keys, _PIECE] if self.hot else self.keys
+        return [*self.keys, _HOT, _PIECE] if self.hot else self.keys
 
     def with_running(self, *running: Running) -> Ordered:
         """Add running aggregates as columns."""
@@ -100,7 +99,7 @@ class Ordered:
         point = F.struct(*self.order)
         # One row per piece of a hot key, so the broadcast is bounded by the cuts.
         carried = (
-            self.df.where(F.col(_PIECE) >= 0)
+            self.df.where(_HOT)
             .groupBy(*self.partition)
             .agg(*[r.of_piece(point).alias(r.carry) for r in running])
             .withColumns({r.carry: r.fold(F.col(r.carry)).over(earlier) for r in running})
@@ -110,7 +109,7 @@ class Ordered:
         return replace(self, df=joined.withColumns(done).drop(*[r.carry for r in running]))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_PIECE)
+        return self.df.drop(_HOT, _PIECE)
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys | None) -> Ordered:
@@ -125,30 +124,25 @@ def ordered(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys | Non
 
 def _with_piece(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> DataFrame:
     table = df.sparkSession.createDataFrame(hot.cuts)
+    longest = max(len(c) for c in hot.cuts[_CUTS])
     # Thinning keeps the broadcast below MAX_PIECES cuts whatever the table size.
     thin = -(-hot.count // MAX_PIECES)
     if thin > 1:
         kept = F.filter(_CUTS, lambda _, i: (i + 1) % F.lit(thin) == 0)
         table = table.withColumn(_CUTS, kept).where(F.size(_CUTS) > 0)
-    # Two-level search: the first cut of each block, then the cuts of one block.
-    starts = F.sequence(F.lit(1), F.size(_CUTS), F.lit(SEARCH_BLOCK))
-    heads = F.transform(starts, lambda i: F.get(F.col(_CUTS), i - 1))
-    blocks = F.transform(starts, lambda i: F.slice(F.col(_CUTS), i, F.lit(SEARCH_BLOCK)))
-    table = table.select(*keys, heads.alias(_HEADS), blocks.alias(_CUTS))
     if keys:
         df = _join_bounded(df, table, keys)
     else:
-        df = df.withColumn("__search", table.select(F.struct(_HEADS, _CUTS)).scalar())
-        df = df.select("*", "__search.*").drop("__search")
+        df = df.withColumn(_CUTS, table.select(_CUTS).scalar())
+    # Binary search for the number of cuts up to the row, one comparison per column.
     here = F.struct(*order)
-    block = F.size(F.filter(_HEADS, lambda cut: cut <= here))
-    inner = F.size(F.filter(F.get(F.col(_CUTS), block - 1), lambda cut: cut <= here))
-    piece = (
-        F.when(F.col(_HEADS).isNull(), F.lit(-1))
-        .when(block == 0, F.lit(0))
-        .otherwise((block - 1) * F.lit(SEARCH_BLOCK) + inner)
-    )
-    return df.withColumn(_PIECE, piece).drop(_HEADS, _CUTS)
+    df = df.withColumns({_HOT: F.col(_CUTS).isNotNull(), _PIECE: F.lit(0)})
+    for step in (2**i for i in reversed(range(longest.bit_length()))):
+        passed = F.get(F.col(_CUTS), F.col(_PIECE) + F.lit(step - 1)) <= here
+        df = df.withColumn(
+            _PIECE, F.when(passed, F.col(_PIECE) + F.lit(step)).otherwise(F.col(_PIECE))
+        )
+    return df.drop(_CUTS)
 
 
 @dataclass(frozen=True)

@@ -34,17 +34,15 @@ def gap_segments(
     Works on a stream with a watermark on ``ts`` too (append mode). In batch, keys
     with more than ``rows_per_piece`` events are handled in pieces.
     """
-    columns = [*keys, "start_ts", "end_ts", "n_events", "length_ms", "max_speed", "avg_speed"]
-    hot = None if events.isStreaming else find_hot_keys(events, keys, [ts], rows_per_piece)
-    if hot is None:
+    if events.isStreaming:
         sessions = events.groupBy(*keys, F.session_window(ts, gap))
-        return sessions.agg(*segment_summary(ts, speed)).select(*columns)
-
-    rows = ordered(events.where(F.col(ts).isNotNull()), keys, [ts], hot)
-    rows = rows.with_running(Running("__previous", "max", F.col(ts), including=False))
-    opens = F.col("__previous").isNull() | (
-        F.col(ts) > F.col("__previous") + F.expr(f"interval {gap}")
-    )
-    rows = rows.with_running(Running("__opened", "max", F.when(opens, F.col(ts))))
-    sessions = rows.rows().groupBy(*keys, "__opened")
-    return sessions.agg(*segment_summary(ts, speed)).select(*columns)
+    else:
+        events = events.where(F.col(ts).isNotNull())
+        rows = ordered(events, keys, [ts], find_hot_keys(events, keys, [ts], rows_per_piece))
+        rows = rows.with_running(Running("__previous", "max", F.col(ts), including=False))
+        last_in_reach = F.col("__previous") + F.expr(f"interval {gap}")
+        opens = F.col("__previous").isNull() | (F.col(ts) > last_in_reach)
+        rows = rows.with_running(Running("__opened", "max", F.when(opens, F.col(ts))))
+        sessions = rows.rows().groupBy(*keys, "__opened")
+    columns = ["start_ts", "end_ts", "n_events", "length_ms", "max_speed", "avg_speed"]
+    return sessions.agg(*segment_summary(ts, speed)).select(*keys, *columns)

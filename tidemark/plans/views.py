@@ -62,9 +62,7 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = f"{sf_dir}/events.parquet"
     if stream:
-        schema = spark.read.parquet(path).schema
-        source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-        table = source.parquet(sf_dir)
+        table = _stream(spark, path)
     else:
         table = spark.read.parquet(path)
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -88,11 +86,14 @@ def rides(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     path = f"{sf_dir}/documents.parquet"
-    if stream:
-        schema = spark.read.parquet(path).schema
-        source = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-        return source.parquet(sf_dir).select("doc_id", "text")
-    return spark.read.parquet(path).select("doc_id", "text")
+    table = _stream(spark, path) if stream else spark.read.parquet(path)
+    return table.select("doc_id", "text")
+
+
+def _stream(spark: SparkSession, path: str) -> DataFrame:
+    # A file source takes a single file only through a pattern; folders match too.
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _view(spark: SparkSession, sql: str, source: DataFrame) -> DataFrame:
