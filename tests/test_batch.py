@@ -197,3 +197,15 @@ def test_fitted_minutes_survives_huge_sums(spark):
     frame = spark.sql(f"select {sums}")
     minutes = fitted_minutes(*map(F.col, ("n", "x", "y", "xx", "xy", "at")))
     assert frame.select(minutes).first()[0] == 50
+
+
+@pytest.mark.parametrize(("window", "slide"), [("15 minutes", "5 minutes"), ("7 hours", "3 hours")])
+def test_popular_places_like_sliding_windows(spark, sf_dir, window, slide):
+    rides = views.rides(spark, sf_dir)
+    got = operators.popular_places(
+        rides, grid=views.COARSE_GRID, window=window, slide=slide, threshold=0
+    )
+    cells = operators.ride_cells(operators.rides_in_bbox(rides), views.COARSE_GRID)
+    windows = cells.groupBy(F.window("ts", window, slide), "cell", "is_start").count()
+    want = windows.select(F.unix_millis("window.end").alias("window_end"), "is_start", "count")
+    assert rows(got, "window_end", "is_start", "cnt") == rows(want)

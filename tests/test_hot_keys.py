@@ -161,3 +161,20 @@ def test_stop_segments_like_a_plain_loop(spark, data, rows_per_piece):
     got = operators.stop_segments(frame, ["car_id"], rows_per_piece=rows_per_piece)
     by_car = [e for k in "ab" for e in expected([r for r in numbered if r[1] == k])]
     assert rows(got, *columns) == sorted(by_car, key=repr)
+
+
+@pytest.mark.parametrize("stop", [False, True])
+def test_copies_are_added_up(spark, stop):
+    """Half of all events are copies of one, which no cut can part."""
+    speed = "0.0D" if stop else "5.0D"
+    events = spark.range(400).selectExpr(
+        "if(id < 200, 100L, id) event_id",
+        "1L car_id",
+        "timestamp_seconds(if(id < 200, 100L, id) * 10) ts",
+        f"if(id < 200, {speed}, if(id % 50 = 0, 0.0D, double(id % 7))) speed",
+    )
+    order = ["ts", "event_id"]
+    assert find_hot_keys(events, ["car_id"], order, CUT).copies
+    assert not find_hot_keys(events.where("event_id <> 100"), ["car_id"], order, CUT).copies
+    _same(lambda n: _rounded(operators.stop_segments(events, ["car_id"], rows_per_piece=n)))
+    _same(lambda n: _rounded(operators.gap_segments(events, ["car_id"], "15 seconds", rows_per_piece=n)))

@@ -28,9 +28,13 @@ _CUTS = "__cuts"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Cut points, in order, of every key that is too large for one task."""
+    """Cut points, in order, of every key that is too large for one task.
+
+    ``copies`` tells that some rows of a key which no cut can part fill whole pieces.
+    """
 
     cuts: pa.Table
+    copies: bool
 
     @property
     def count(self) -> int:
@@ -64,11 +68,17 @@ def find_hot_keys(
         points.withColumn("__upto", upto)
         .where(F.floor(F.col("__upto") / step) > F.floor((F.col("__upto") - F.col("__n")) / step))
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias(_CUTS))
+        .agg(
+            F.sort_array(F.collect_list(F.struct(*order))).alias(_CUTS),
+            F.max("__n").alias("__n"),
+        )
         .where(F.size(_CUTS) > 0)
         .toArrow()
     )
-    return HotKeys(cuts) if cuts.num_rows else None
+    if cuts.num_rows == 0:
+        return None
+    most = max(cuts["__n"].to_pylist())
+    return HotKeys(cuts.drop_columns("__n"), copies=most >= 2 * per_piece)
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,16 +62,37 @@ def popular_places(
     `tidemark.streaming.watermark.with_ride_watermark`; write it in append mode.
     """
     rides = ride_cells(rides_in_bbox(rides, box, event_time="ts"), grid)
-    counts = (
-        rides.groupBy(F.window("ts", window, slide), "cell", "is_start")
-        .agg(F.count(F.lit(1)).cast("int").alias("cnt"))
-        .where(F.col("cnt") > threshold)
-    )
+    if rides.isStreaming or not _divides(slide, window):
+        counts = rides.groupBy(F.window("ts", window, slide), "cell", "is_start").agg(
+            F.count(F.lit(1)).alias("cnt")
+        )
+        counts = counts.withColumn("window_end", F.col("window.end"))
+    else:
+        # Count each stretch between two window ends once, then add stretches up.
+        panes = rides.groupBy(F.window("ts", slide), "cell", "is_start").agg(
+            F.count(F.lit(1)).alias("cnt")
+        )
+        first = F.col("window.end")
+        step = F.expr(f"interval {slide}")
+        ends = F.sequence(first, first + F.expr(f"interval {window}") - step, step)
+        counts = (
+            panes.select(F.explode(ends).alias("window_end"), "cell", "is_start", "cnt")
+            .groupBy("window_end", "cell", "is_start")
+            .agg(F.sum("cnt").alias("cnt"))
+        )
+    counts = counts.where(F.col("cnt") > threshold)
     lon, lat = grid_cell_center(F.col("cell"), grid)
     return counts.select(
         lon.alias("lon"),
         lat.alias("lat"),
-        F.unix_millis("window.end").alias("window_end"),
+        F.unix_millis("window_end").alias("window_end"),
         "is_start",
-        "cnt",
+        F.col("cnt").cast("int").alias("cnt"),
     )
+
+
+def _divides(slide: str, window: str) -> bool:
+    try:
+        return pd.Timedelta(window) % pd.Timedelta(slide) == pd.Timedelta(0)
+    except ValueError:
+        return False
