@@ -92,60 +92,37 @@ def _schema(rows: DataFrame, fields: list[str]) -> str:
 def _advance(key_name: str, early: bool):
     def advance(key, batches, state):
         watermark_us = state.getCurrentWatermarkMs() * 1000
-        known_us, known_tie, known, open_us, open_doc = (
-            state.get if state.exists else ([], [], [], [], [])
+        *records, open_us, open_doc = state.get if state.exists else ([], [], [], [], [])
+        side, us, tie, doc = gather(batches, "__side", "__us", "__tie", "__doc")
+        record, fresh = side == 0, (side == 1) & (us > watermark_us)
+        at, at_tie, known = (
+            np.concatenate([np.array(old, dtype=kind), new[record].astype(kind)])
+            for old, new, kind in zip(records, (us, tie, doc), ("int64", "int64", object))
         )
-        records = pd.DataFrame(
-            {"us": np.array(known_us, dtype="int64"), "tie": known_tie, "doc": known}
-        )
-        held = pd.DataFrame({"us": np.array(open_us, dtype="int64"), "doc": open_doc})
-        arrived = gather(batches)
-        fresh = held.iloc[:0]
-        if arrived is not None:
-            arrived = arrived[["__side", "__us", "__tie", "__doc"]].set_axis(
-                ["side", "us", "tie", "doc"], axis=1
-            )
-            records = pd.concat([records, arrived.loc[arrived.side == 0, ["us", "tie", "doc"]]])
-            fresh = arrived.loc[
-                (arrived.side == 1) & (arrived.us > watermark_us), ["us", "doc"]
-            ]
-            held = pd.concat([held, fresh])
-        records = records.sort_values(["us", "tie"], ignore_index=True)
-        at, docs = records.us.to_numpy(dtype="int64"), records.doc.to_numpy(dtype=object)
-
-        def matched(trades: pd.DataFrame, final: bool) -> pd.DataFrame:
-            found = np.searchsorted(at, trades.us.to_numpy(dtype="int64"), side="right") - 1
-            customer = [docs[i] if i >= 0 else None for i in found]
-            return pd.DataFrame(
-                {
-                    key_name: key[0],
-                    "trade": trades.doc.to_numpy(),
-                    "customer": customer,
-                    "final": final,
-                }
-            )
-
-        is_due = held.us <= watermark_us
-        due, held = held[is_due], held[~is_due]
+        order = np.lexsort((at_tie, at))
+        at, at_tie, known = at[order], at_tie[order], known[order]
+        held_us = np.concatenate([np.array(open_us, dtype="int64"), us[fresh].astype("int64")])
+        held_doc = np.concatenate([np.array(open_doc, dtype=object), doc[fresh]])
+
+        def matched(trade_us, trades, final: bool) -> pd.DataFrame:
+            found = np.searchsorted(at, trade_us, side="right") - 1
+            customer = [known[i] if i >= 0 else None for i in found]
+            columns = {key_name: key[0], "trade": trades, "customer": customer, "final": final}
+            return pd.DataFrame(columns, index=range(len(trades)))
+
+        due = held_us <= watermark_us
+        if early and fresh.any():
+            yield matched(us[fresh].astype("int64"), doc[fresh], final=False)
+        if due.any():
+            yield matched(held_us[due], held_doc[due], final=True)
+        held_us, held_doc = held_us[~due], held_doc[~due]
         # The newest record up to the watermark still serves trades after it.
         needed = max(int(np.searchsorted(at, watermark_us, side="right")) - 1, 0)
-        records = records.iloc[needed:]
-        if len(records) or len(held):
-            state.update(
-                (
-                    records.us.tolist(),
-                    records.tie.tolist(),
-                    records.doc.tolist(),
-                    held.us.tolist(),
-                    held.doc.tolist(),
-                )
-            )
-            wake_when_due(state, int(held.us.min()) if len(held) else None)
+        if needed < len(at) or len(held_us):
+            kept = [column[needed:].tolist() for column in (at, at_tie, known)]
+            state.update((*kept, held_us.tolist(), held_doc.tolist()))
+            wake_when_due(state, int(held_us.min()) if len(held_us) else None)
         elif state.exists:
             state.remove()
-        if early and len(fresh):
-            yield matched(fresh, final=False)
-        if len(due):
-            yield matched(due, final=True)
 
     return advance

@@ -37,20 +37,23 @@ def predict_travel_time_stream(
 
 def _learn(key, batches, state):
     model = [int(v) for v in state.get] if state.exists else [0] * len(_SUMS)
-    rows = gather(batches)
-    if rows is None:
-        return
-    rows = rows.sort_values(["us", "is_start", "ride_id"], ignore_index=True)
-    ended = ~rows.is_start.to_numpy(dtype=bool)
-    x = rows.distance_m.to_numpy(dtype="int64") * ended
-    y = rows.travel_ms.to_numpy(dtype="int64") * ended
+    us, is_start, ride_id, x, y = gather(
+        batches, "us", "is_start", "ride_id", "distance_m", "travel_ms"
+    )
+    order = np.lexsort((ride_id, is_start, us))
+    ended = ~is_start[order].astype(bool)
+    at, ride_id = x[order][~ended], ride_id[order][~ended]
+    x, y = x[order] * ended, y[order] * ended
     learned = [np.cumsum(v) for v in (ended.astype("int64"), x, y, x * x, x * y)]
-    starts = rows.loc[~ended, ["ride_id", "distance_m"]]
-    if len(starts):
+    if len(at):
         # A start adds nothing to the sums, so its own row holds what came before it.
-        before = {name: v[~ended] + base if name in "nxy" else [Decimal(int(s) + base) for s in v[~ended]]
-                  for name, v, base in zip(_SUMS, learned, model)}
-        yield pd.DataFrame({"ride_id": starts.ride_id, "at": starts.distance_m, **before})
+        n, sum_x, sum_y = (v[~ended] + base for v, base in zip(learned[:3], model[:3]))
+        xx, xy = (
+            [Decimal(int(v) + base) for v in sums[~ended]]
+            for sums, base in zip(learned[3:], model[3:])
+        )
+        columns = [ride_id, at, n, sum_x, sum_y, xx, xy]
+        yield pd.DataFrame(dict(zip(["ride_id", "at", *_SUMS], columns)))
     if ended.any():
         n, x, y, xx, xy = (int(v[-1]) + base for v, base in zip(learned, model))
         state.update((n, x, y, Decimal(xx), Decimal(xy)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,7 +13,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tidemark.streaming.state import gather, wake_when_due
 
 _SUMMARY = "start_us bigint, end_us bigint, n_events bigint, max_speed double, avg_speed double"
-_OPEN = "n bigint, start_us bigint, end_us bigint, total double, top double"
+_OPEN = "n bigint, speeds bigint, start_us bigint, total double, top double"
 _WAITING = "us array<bigint>, tie array<bigint>, speed array<double>"
 
 
@@ -25,7 +27,7 @@ def stop_segments_stream(
     """Segments of each key, given once the watermark has passed their stop.
 
     ``events`` needs a watermark on ``ts``; events at or below it are dropped. Write
-    the result in append mode. Per key the state holds five numbers for the open
+    the result in append mode. Per key the state holds a few numbers for the open
     segment and the events that are newer than the watermark. ``tie`` is a whole
     number that orders events of the same time.
     """
@@ -59,55 +61,63 @@ def stop_segments_stream(
 
 
 def _advance(keys: list[str]):
+    names = [*keys, *[field.split()[0] for field in _SUMMARY.split(", ")]]
+
     def advance(key, batches, state):
         watermark_us = state.getCurrentWatermarkMs() * 1000
-        n, start, end, total, top, us, tie, speed = (
-            state.get if state.exists else (0, None, None, 0.0, None, [], [], [])
+        n, speeds, start, total, top, *waiting = (
+            state.get if state.exists else (0, 0, 0, 0.0, math.nan, [], [], [])
         )
-        waiting = pd.DataFrame(
-            {
-                "us": np.array(us, dtype="int64"),
-                "tie": np.array(tie, dtype="int64"),
-                "speed": np.array(speed, dtype="float64"),
-            }
+        arrived = gather(batches, "__us", "__tie", "__speed")
+        in_time = arrived[0] > watermark_us
+        us, tie, speed = (
+            np.concatenate([np.array(old, dtype=kind), new[in_time].astype(kind)])
+            for old, new, kind in zip(waiting, arrived, ("int64", "int64", "float64"))
         )
-        arrived = gather(batches)
-        if arrived is not None:
-            arrived = arrived[["__us", "__tie", "__speed"]].set_axis(waiting.columns, axis=1)
-            waiting = pd.concat([waiting, arrived[arrived.us > watermark_us]])
-        waiting = waiting.sort_values(["us", "tie"], ignore_index=True)
+        order = np.lexsort((tie, us))
+        us, tie, speed = us[order], tie[order], speed[order]
+        n_due = int(np.searchsorted(us, watermark_us, side="right"))
 
-        n_due = int(np.searchsorted(waiting.us.to_numpy(), watermark_us, side="right"))
-        due, waiting = waiting.iloc[:n_due], waiting.iloc[n_due:]
-        stops = (due.speed == 0.0).to_numpy()
-        number = np.cumsum(stops) - stops
-        closed = int(stops.sum())
-        out = []
-        for segment, part in due.groupby(number):
-            n, start, end = n + len(part), part.us.iloc[0] if n == 0 else start, part.us.iloc[-1]
-            total = total + float(part.speed.sum())
-            top = np.nanmax([np.nan if top is None else top, part.speed.max()])
-            if segment < closed:
-                out.append((*key, start, end, n, top, total / n))
-                n, start, end, total, top = 0, None, None, 0.0, None
-        if n or len(waiting):
-            state.update(
-                (
-                    n,
-                    None if start is None else int(start),
-                    None if end is None else int(end),
-                    float(total),
-                    None if top is None else float(top),
-                    waiting.us.tolist(),
-                    waiting.tie.tolist(),
-                    waiting.speed.tolist(),
+        if n_due:
+            # Runs of due rows: each ends at a stop, the last one may still be open.
+            stops = np.flatnonzero(speed[:n_due] == 0.0)
+            first = np.concatenate([[0], stops + 1])
+            first = first[first < n_due]
+            last = np.concatenate([first[1:], [n_due]]) - 1
+            given = speed[:n_due]
+            known = ~np.isnan(given)
+            counts = last - first + 1
+            begins = us[first]
+            known_counts = np.add.reduceat(known.astype("int64"), first)
+            totals = np.add.reduceat(np.where(known, given, 0.0), first)
+            tops = np.fmax.reduceat(given, first)
+            # The first run continues the segment that was open before.
+            if n:
+                begins[0] = start
+            counts[0] += n
+            known_counts[0] += speeds
+            totals[0] += total
+            tops[0] = np.fmax(tops[0], top)
+            closed = len(stops)
+            if closed:
+                columns = (
+                    *key,
+                    begins[:closed],
+                    us[last[:closed]],
+                    counts[:closed],
+                    tops[:closed],
+                    totals[:closed] / known_counts[:closed],
                 )
-            )
-            wake_when_due(state, int(waiting.us.iloc[0]) if len(waiting) else None)
+                yield pd.DataFrame(dict(zip(names, columns)), index=range(closed))
+            n, speeds, start, total, top = 0, 0, 0, 0.0, math.nan
+            if closed < len(first):
+                n, speeds, start = int(counts[-1]), int(known_counts[-1]), int(begins[-1])
+                total, top = float(totals[-1]), float(tops[-1])
+        if n or n_due < len(us):
+            waiting = [column[n_due:].tolist() for column in (us, tie, speed)]
+            state.update((n, speeds, start, total, top, *waiting))
+            wake_when_due(state, waiting[0][0] if waiting[0] else None)
         elif state.exists:
             state.remove()
-        names = [*keys, "start_us", "end_us", "n_events", "max_speed", "avg_speed"]
-        if out:
-            yield pd.DataFrame(out, columns=names)
 
     return advance

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.state import GroupState
 
 
-def gather(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
-    """The new rows of one key in this micro-batch."""
-    parts = [b for b in batches if len(b)]
-    return pd.concat(parts, ignore_index=True) if parts else None
+def gather(batches: Iterator[pd.DataFrame], *columns: str) -> list[np.ndarray]:
+    """Columns of the new rows of one key in this micro-batch."""
+    parts = list(batches)
+    return [np.concatenate([part[c].to_numpy() for part in parts] or [[]]) for c in columns]
 
 
 def wake_when_due(state: GroupState, first_us: int | None) -> None:
