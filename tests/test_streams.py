@@ -268,3 +268,28 @@ def test_place_documents_are_written_once(spark, feed, tmp_path, sf_dir):
     query.awaitTermination()
     docs = spark.read.schema("time string, location string, isStart string, cnt string").json(path)
     assert docs.count() == docs.dropDuplicates(["time", "location", "isStart"]).count() > 30
+
+
+def test_state_functions_need_no_package_on_executors():
+    import pickle
+
+    from pyspark import cloudpickle
+
+    from tidemark.streaming import asof, prediction, segments
+
+    for function in (prediction._learn, asof._advance("k", True), segments._advance(["k"])):
+        assert b"tidemark.streaming.state" not in pickle_imports(cloudpickle.dumps(function))
+        assert pickle.loads(cloudpickle.dumps(function)) is not None
+
+
+def pickle_imports(data: bytes) -> bytes:
+    """The modules that unpickling would import functions from."""
+    import pickletools
+
+    strings, imported = [], []
+    for op, arg, _ in pickletools.genops(data):
+        if isinstance(arg, str):
+            strings.append(arg)
+        if op.name == "STACK_GLOBAL":
+            imported.append(strings[-2])
+    return " ".join(imported).encode()

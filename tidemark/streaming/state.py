@@ -6,8 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming.state import GroupState
 
+import tidemark
+
+# State functions travel with their query, so executors need not have the package.
+cloudpickle.register_pickle_by_value(tidemark)
+
 
 def gather(batches: Iterator[pd.DataFrame], *columns: str) -> list[np.ndarray]:
     """Columns of the new rows of one key in this micro-batch."""
