@@ -5,12 +5,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,8 @@ def _comparable(frame: pd.DataFrame) -> pd.DataFrame:
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert SQL.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
