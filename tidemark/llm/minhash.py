@@ -34,12 +34,14 @@ def near_duplicates(
     ``similarity``; ``component_id`` is the smallest ``doc_id`` that links reach.
 
     Equal sets are one class from the start, named by its smallest id, so copies are never
-    paired. Classes that share a band of minima form a bucket. In a first round each bucket
-    proposes its smallest member against all others; later rounds take four times as many
-    leaders each and propose only pairs whose ends are still in different components, until no
-    bucket has such a pair. Every pair of a bucket is therefore either verified or already in
-    one component, and a large group of near copies costs one pair per member and band.
-    Signatures first and then the full sets confirm each proposed pair.
+    paired. Classes that share a band of minima form a bucket. Shingles that no other class of
+    a bucket has bound the similarity of a class to any other, so classes and pairs that can't
+    reach the threshold are left out without looking at them. In a first round each bucket
+    proposes the member with the smallest share of such shingles against all others; later
+    rounds take four times as many leaders each and propose only pairs whose ends are still in
+    different components, until no bucket has such a pair. Every pair of a bucket is therefore
+    verified, out of reach or in one component, and a large group of near copies costs about
+    one pair per member and band. Signatures first and then the full sets confirm each pair.
 
     A null or wordless text has an empty set and is linked with nothing. A row without id is
     linked with nothing either; its component is null and it is kept. Rows that share an id
@@ -66,7 +68,7 @@ def near_duplicates(
     rows = documents.join(paired, documents.doc_id == paired.class_id, "left_semi")
     sets = stored(_sets(rows, words_per_shingle))
 
-    found = _linked(members, signatures, sets, similarity)
+    found = _linked(_bounded(members, sets, similarity), signatures, sets, similarity)
     named = classes.join(found, classes.class_id == found.node, "left").select(
         "digest", F.coalesce("component", "class_id").alias("component_id")
     )
@@ -135,54 +137,87 @@ def _numbered(documents: DataFrame) -> DataFrame:
 def _sets(documents: DataFrame, size: int) -> DataFrame:
     def rows(batch: pa.RecordBatch) -> dict:
         found = [shingles(hash_words(words(t)), size) for t in batch.column("text").to_pylist()]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
         return {
             "class_id": batch.column("doc_id"),
-            "shingles": pa.array([f.tobytes() for f in found], pa.binary()),
+            "shingles": pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.concatenate(found).view(np.int64))
+            ),
         }
 
-    return map_batches(_numbered(documents), "class_id long, shingles binary", rows)
+    return map_batches(_numbered(documents), "class_id long, shingles array<long>", rows)
+
+
+def _bounded(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``members`` that some other class can be similar to, with ``size, common, lone``.
+
+    ``common`` counts the shingles that other classes have, too, and bounds every
+    intersection; ``lone`` is the share of the rest.
+    """
+    owners = (
+        sets.select("class_id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("class_id").alias("class_id"), F.max("class_id").alias("last"))
+    )
+    lone = owners.where("class_id = last").groupBy("class_id").agg(F.count("*").alias("n"))
+    # Rows that share an id may have several sets; their sum bounds each of them.
+    sizes = sets.groupBy("class_id").agg(
+        F.min(F.size("shingles")).alias("size"), F.sum(F.size("shingles")).alias("total")
+    )
+    bounds = sizes.join(lone, "class_id", "left").select(
+        "class_id",
+        F.col("size").cast("long").alias("size"),
+        (F.col("total") - F.coalesce("n", F.lit(0))).alias("common"),
+        (F.coalesce("n", F.lit(0)) / F.col("total")).alias("lone"),
+    )
+    reach = F.col("common") * 100 >= F.col("size") * round(similarity * 100)
+    return stored(members.join(bounds.where(reach), "class_id"))
 
 
 def _linked(members, signatures, sets, similarity: float) -> DataFrame:
     """``(node, component)`` of the classes that verified pairs connect."""
-    first = members.groupBy("bucket").agg(F.min("class_id").alias("a"))
-    pairs = members.join(first, "bucket").where("class_id != a").select("a", F.col("class_id").alias("b"))
-    links = _verified(pairs.distinct(), signatures, sets, similarity)
-    found = components(links)
-    active, leaders = members.join(first, [members.bucket == first.bucket, members.class_id == first.a], "left_anti"), 1
+    percent = round(similarity * 100)
+    possible = F.expr(f"{100 + percent} * least(a.common, b.common) >= {percent} * (a.size + b.size)")
+    leader = F.min(F.struct("lone", "class_id", "size", "common")).alias("first")
+    firsts = members.groupBy("bucket").agg(leader).select("bucket", "first.*")
+    first = [F.col("a.bucket") == F.col("b.bucket"), F.col("a.class_id") != F.col("b.class_id"), possible]
+    pairs = _ordered(firsts.alias("a").join(members.alias("b"), first))
+    found = components(_verified(pairs, signatures, sets, similarity))
+    led, leaders = firsts.select("bucket", "class_id"), 1
+    active = members
     while True:
+        active = active.join(led, ["bucket", "class_id"], "left_anti").select(members.columns)
         active = stored(_undecided(active, found))
         if active.isEmpty():
             return found
         leaders *= 4
         share = F.pmod(F.xxhash64("bucket", "class_id"), F.lit(1 << 20)) / float(1 << 20)
-        leads = F.col("size") <= leaders
-        leading = active.where(leads | (share < F.lit(leaders) / F.col("size")))
-        a, b = leading.alias("a"), active.alias("b")
-        pairs = (
-            a.join(b, F.expr("a.bucket = b.bucket and a.component != b.component"))
-            .select(F.least("a.class_id", "b.class_id").alias("a"), F.greatest("a.class_id", "b.class_id").alias("b"))
-            .distinct()
-        )
+        leading = active.where(share < F.lit(leaders) / F.col("n_members"))
+        apart = [F.col("a.bucket") == F.col("b.bucket"), F.col("a.component") != F.col("b.component"), possible]
+        pairs = _ordered(leading.alias("a").join(active.alias("b"), apart))
         links = _verified(pairs, signatures, sets, similarity)
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(stars.union(links))
         led = leading.select("bucket", "class_id")
-        active = active.join(led, ["bucket", "class_id"], "left_anti").select("bucket", "class_id")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    ends = [F.col("a.class_id"), F.col("b.class_id")]
+    return pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
 
 def _undecided(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The buckets whose members are in several components, with the component and the size."""
+    """The buckets whose members are in several components, with the component and their number."""
     at = members.join(found, members.class_id == found.node, "left").select(
-        "bucket", "class_id", F.coalesce("component", "class_id").alias("component")
+        *members.columns, F.coalesce("component", "class_id").alias("component")
     )
-    sizes = (
+    mixed_buckets = (
         at.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n_members"))
         .where("low < high")
-        .select("bucket", "size")
+        .select("bucket", "n_members")
     )
-    return at.join(sizes, "bucket")
+    return at.join(mixed_buckets, "bucket")
 
 
 def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -214,10 +249,15 @@ def _similar_sets(similarity: float):
     def run(batches):
         for batch in batches:
             near = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = np.intersect1d(x, y, assume_unique=True).size
-                near.append(100 * both >= percent * (x.size + y.size - both))
+            for left, right in zip(_lists(batch.column(2)), _lists(batch.column(3))):
+                both = np.intersect1d(left, right, assume_unique=True).size
+                near.append(100 * both >= percent * (left.size + right.size - both))
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
     return run
+
+
+def _lists(column: pa.ListArray):
+    values = column.values.to_numpy(zero_copy_only=False)
+    ends = column.offsets.to_numpy()
+    return (values[i:j] for i, j in zip(ends[:-1], ends[1:]))
