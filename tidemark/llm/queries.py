@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash
+from tidemark.llm import decontaminate, lines, minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,20 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.repeated_lines_removed(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.contaminated(documents, benchmark)
+
+
 QUERIES: dict[str, Query] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
+    "op9_decontamination": op9_decontamination,
 }
 
 
@@ -29,4 +41,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_line_dedup": lines.oracle_sql()}
