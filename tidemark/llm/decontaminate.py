@@ -280,15 +280,21 @@ def _near(part, run_map, key_map, classes, edits):
 def _verify(edits: float):
     def run(batches):
         for batch in batches:
-            near = []
+            near, keep = [], []
             for own, window in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 item = np.frombuffer(own, np.uint64)
                 seen = np.frombuffer(window, np.uint64)[: len(item)]
-                near.append(0 if np.array_equal(item, seen) else distance(item, seen))
-            most = [most_edits(len(w) // 8, edits) for w in batch.column(3).to_pylist()]
-            keep = pa.array([d <= m for d, m in zip(near, most)], pa.bool_())
+                most = most_edits(len(item), edits)
+                there = set(seen.tolist())
+                # Every word of the item that the window lacks is an edit.
+                if sum(w not in there for w in item.tolist()) > most:
+                    least = most + 1
+                else:
+                    least = 0 if np.array_equal(item, seen) else distance(item, seen)
+                near.append(least)
+                keep.append(least <= most)
             rows = [batch.column(i) for i in range(3)] + [pa.array(near, pa.int64())]
             names = ["doc_id", "item_id", "start", "distance"]
-            yield pa.RecordBatch.from_arrays(rows, names=names).filter(keep)
+            yield pa.RecordBatch.from_arrays(rows, names=names).filter(pa.array(keep, pa.bool_()))
 
     return run
