@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.llm import decontaminate, lines, minhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    decontaminate,
+    lines,
+    minhash,
+    phrases,
+    spans,
+    tokencache,
+    toxicity,
+    url_graph,
+)
+from tidemark.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,10 +41,53 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents, benchmark)
 
 
+# (verdict, host, path)
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+TOKEN_LIMIT = 2048
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_graph.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return phrases.edited_fingerprints(_table(spark, sf_dir, "documents"), parts)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spans.repeated_spans_removed(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_sentences", "n_removed", "repeats_of", "text")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = toxicity.scored(documents, toxicity.fit(documents, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    cache = f"{shared_folder(spark)}/token-counts"
+    counted = tokencache.token_counts(_table(spark, sf_dir, "documents"), path, cache)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filters": op1_url_filters,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_decontamination": op9_decontamination,
+    "op10_token_counts": op10_token_counts,
 }
 
 
