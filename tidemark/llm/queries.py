@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
+    idcoder,
     lines,
     minhash,
     phrases,
+    pieces,
     spans,
     tokencache,
     toxicity,
@@ -36,6 +38,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/ids"
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    idcoder.write_ids(_table(spark, sf_dir, "documents"), tokenizer, END_ID, path)
+    return idcoder.read_checksums(spark, path)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return decontaminate.contaminated(documents, benchmark)
@@ -50,12 +59,30 @@ URL_RULES = [
     ("block", "com", "/de/"),
 ]
 TOKEN_LIMIT = 2048
+END_ID = 2
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_graph.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_and_back(_table(spark, sf_dir, "documents"))
+
+
+def pieces_and_back(documents: DataFrame) -> DataFrame:
+    """The ids of every text, and the length and SHA-256 of what they spell."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    spelled = pieces.decoded(pieces.encoded(documents, path), path)
+    return spelled.select(
+        "doc_id",
+        "n_pieces",
+        "ids",
+        F.length("text").cast("long").alias("decoded_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return phrases.edited_fingerprints(_table(spark, sf_dir, "documents"), parts)
@@ -82,10 +109,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_token_output": op8_token_output,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
