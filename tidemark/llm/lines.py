@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runs import later_runs, with_row, without_runs
+from tidemark.llm.runs import later_runs, unpacked, with_row, without_runs
 
 LINES = 3
 
@@ -21,7 +21,8 @@ def repeated_lines_removed(documents: DataFrame, lines: int = LINES) -> DataFram
 
     A null text stays null, with no lines; an empty one has one line. Rows without id are not
     looked at. Rows that repeat both id and text count as one document and change alike.
-    No documents give no rows; further columns are passed on. SQL functions only.
+    No documents give no rows; further columns are passed on, but for any of the names of the two
+    counts. SQL functions only.
     """
     split = F.split("text", "\n", -1)
     rows = with_row(documents)
@@ -30,21 +31,24 @@ def repeated_lines_removed(documents: DataFrame, lines: int = LINES) -> DataFram
     )
     runs = later_runs(parts, lines, F.trim(F.array_join("run", "")) != "")
     left = without_runs(rows, runs, lines, split, "\n")
-    counted = F.greatest("_parts", F.lit(0))
-    return left.select(
-        *documents.columns,
-        counted.cast("long").alias("n_lines"),
-        F.greatest(F.col("_parts") - F.col("_kept"), F.lit(0)).cast("long").alias("n_removed"),
+    return unpacked(
+        left,
+        documents,
+        n_lines=F.greatest("_parts", F.lit(0)).cast("long"),
+        n_removed=F.greatest(F.col("_parts") - F.col("_kept"), F.lit(0)).cast("long"),
     )
 
 
 def without_repeated_lines(documents: DataFrame, lines: int = LINES) -> DataFrame:
     """:func:`repeated_lines_removed` with the columns of ``documents``; ``n_chars`` follows the text."""
-    out = repeated_lines_removed(documents, lines)
-    if "n_chars" in documents.columns:
-        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", length.cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    packed = documents.select("doc_id", "text", F.struct(*documents.columns).alias("all"))
+    out = repeated_lines_removed(packed, lines)
+    changed = F.col("n_removed") > 0
+    fields = {c: F.col("all")[c] for c in documents.columns} | {"text": F.col("text")}
+    if "n_chars" in fields:
+        length = F.when(changed, F.length("text")).otherwise(fields["n_chars"])
+        fields["n_chars"] = length.cast(documents.schema["n_chars"].dataType)
+    return out.select(*(value.alias(name) for name, value in fields.items()))
 
 
 def oracle_sql() -> str:

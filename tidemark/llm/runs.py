@@ -9,8 +9,13 @@ from tidemark.llm.common import stored
 
 
 def with_row(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``_row``: with ``doc_id`` it tells rows apart that share an id."""
-    return documents.withColumn("_row", F.xxhash64("text"))
+    """``doc_id, text, _row`` and all columns as ``_all``, whatever their names are.
+
+    ``_row`` and ``doc_id`` together tell rows apart that share an id.
+    """
+    return documents.select(
+        F.struct(*documents.columns).alias("_all"), "doc_id", "text", F.xxhash64("text").alias("_row")
+    )
 
 
 def later_runs(parts: DataFrame, size: int, counts: Column | None = None) -> DataFrame:
@@ -42,6 +47,13 @@ def later_runs(parts: DataFrame, size: int, counts: Column | None = None) -> Dat
     return again.join(first, ["k1", "k2"]).where(place != F.col("first")).select("doc_id", "_row", "at", "first")
 
 
+def unpacked(rows: DataFrame, documents: DataFrame, **added: Column) -> DataFrame:
+    """The columns of ``documents`` with the text of ``rows``, and ``added`` in place of equal names."""
+    kept = [c for c in documents.columns if c not in added]
+    columns = [F.col("text") if c == "text" else F.col("_all")[c].alias(c) for c in kept]
+    return rows.select(*columns, *(value.alias(name) for name, value in added.items()))
+
+
 def without_runs(documents: DataFrame, runs: DataFrame, size: int, parts: Column, joined: str) -> DataFrame:
     """``documents`` (with ``_row``) without the parts that ``runs`` cover.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runs import later_runs, with_row, without_runs
+from tidemark.llm.runs import later_runs, unpacked, with_row, without_runs
 
 SENTENCES = 3
 LEAST_WORDS = 12
@@ -27,7 +27,7 @@ def repeated_spans_removed(
 
     A null text stays null, with no sentences; an empty one has one. Rows without id are not
     looked at. Rows that repeat both id and text count as one document and change alike.
-    No documents give no rows; further columns are passed on.
+    No documents give no rows; further columns are passed on, but for any of the added names.
     """
     split = F.split("text", _END, -1)
     rows = with_row(documents)
@@ -36,11 +36,12 @@ def repeated_spans_removed(
     )
     runs = later_runs(parts, sentences, _words(F.array_join("run", " ")) >= least_words)
     left = without_runs(rows, runs, sentences, split, "")
-    return left.select(
-        *documents.columns,
-        F.greatest("_parts", F.lit(0)).cast("long").alias("n_sentences"),
-        F.greatest(F.col("_parts") - F.col("_kept"), F.lit(0)).cast("long").alias("n_removed"),
-        F.col("_first").alias("repeats_of"),
+    return unpacked(
+        left,
+        documents,
+        n_sentences=F.greatest("_parts", F.lit(0)).cast("long"),
+        n_removed=F.greatest(F.col("_parts") - F.col("_kept"), F.lit(0)).cast("long"),
+        repeats_of=F.col("_first"),
     )
 
 

@@ -154,7 +154,7 @@ def _sample(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[in
         .agg(F.max("toxic").cast("int").alias("toxic"))
         .where(~held_out())
     )
-    rows = documents.where("doc_id is not null and text is not null")
+    rows = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
     hashed = rows.select("doc_id", F.xxhash64("text").alias("hash"))
     different = stored(
         hashed.join(known, "doc_id").groupBy("hash", "toxic").agg(F.min("doc_id").alias("doc_id"))
