@@ -1,13 +1,15 @@
 """Golden cases of the batch operators."""
 
 import pytest
-from helpers import at, events, rows
+from helpers import at, events, rows, stream_of
 from pyspark.sql import functions as F
 
-from tidemark import operators
+from tidemark import operators, sources
 from tidemark.functions import NYC_GRID, grid_cell, grid_cell_center, words
 from tidemark.operators.prediction import fitted_minutes
 from tidemark.plans import views
+from tidemark.plans.runs import run_appending
+from tidemark.streaming import predict_travel_time_stream
 
 # Four lines of a well-known play.
 LINES = [
@@ -189,6 +191,55 @@ def test_predict_travel_time(spark):
     assert rows(operators.predict_travel_time(_rides(spark, same))) == [(3, None)]
 
 
+def _short_trips(spark, more):
+    """Two good trips that predict ten minutes for ride 5, and more records like them."""
+    lat, end, east = 40.75, -73.75, 0.00002
+    good = [
+        (1, False, 9_000.0, 9_000.0 + 600, end - 500 * east, lat, end, lat),
+        (2, False, 9_010.0, 9_010.0 + 600, end - 700 * east, lat, end, lat),
+        (5, True, 20_000.0, 20_060.0, end - 600 * east, lat, end, lat),
+    ]
+    return _rides(spark, good + [(i, kind, a, b, end - 600 * east, lat, end, lat) for i, kind, a, b in more])
+
+
+@pytest.mark.parametrize(
+    "more",
+    [
+        [],
+        [(3, False, None, 10_000.0)],
+        [(3, False, 9_000.0, None)],
+        [(3, None, 9_000.0, 10_000.0)],
+        [(3, None, None, None), (4, False, None, None)],
+    ],
+)
+def test_records_that_cannot_train_change_no_prediction(spark, tmp_path, more):
+    rides = _short_trips(spark, more)
+    assert rows(operators.predict_travel_time(rides)) == [(5, 10)]
+    rides.coalesce(1).write.parquet(f"{tmp_path}/rides")
+    stream = predict_travel_time_stream(stream_of(spark, rides.schema, f"{tmp_path}/rides"))
+    assert rows(run_appending(stream)) == [(5, 10)]
+
+
+def test_huge_sums_of_a_model_agree_in_both_modes(spark, tmp_path):
+    rides = _short_trips(spark, [(100 + i, False, -3e8 + i, 10_000.0) for i in range(400)])
+    out = rows(operators.predict_travel_time(rides))
+    rides.coalesce(1).write.parquet(f"{tmp_path}/rides")
+    stream = predict_travel_time_stream(stream_of(spark, rides.schema, f"{tmp_path}/rides"))
+    assert rows(run_appending(stream)) == out and out[0][1] > 1_000_000
+
+
+def test_rows_without_a_time_or_value_do_not_count(spark):
+    timed = [("A", 0, 2.0), ("A", 5, 3.0), ("A", 9, 0.0)]
+    data = events(spark, timed)
+    untimed = data.limit(1).withColumns({"ts": F.lit(None).cast("timestamp"), "speed": F.lit(99.0)})
+    got = rows(operators.stop_segments(data.union(untimed), ["car_id"]))
+    assert got == rows(operators.stop_segments(data, ["car_id"])) and len(got) == 1
+    rides = _short_trips(spark, [(3, True, None, 9_000.0)]).withColumn("ts", F.col("start_time"))
+    assert operators.rides_in_bbox(rides, event_time="ts").count() == 3
+    records = sources.rides_to_records(rides).union(spark.sql("select 'k', cast(null as string)"))
+    assert sources.records_to_rides(records).count() == 4
+
+
 def test_fitted_minutes_survives_huge_sums(spark):
     n, d, t = 300_000_000_000, 50_000, 3_000_000
     sums = f"""{n}L n, {n * d}L x, {n * t}L y,

@@ -100,13 +100,25 @@ def test_no_hot_keys_leaves_the_plain_plan(cars):
     assert find_hot_keys(cars, [], ["ts", "event_id"]) is None
 
 
-def test_cuts_are_thinned(cars, monkeypatch):
-    monkeypatch.setattr(hot_keys, "MAX_PIECES", 5)
-    hot = find_hot_keys(cars, ["car_id"], ["ts", "event_id"], CUT)
-    assert hot.count > 5
-    pieces = ordered(cars, ["car_id"], ["ts", "event_id"], hot).df
-    assert 1 < pieces.where("__piece > 0").select("car_id", "__piece").distinct().count() <= 5
-    _same(lambda n: operators.event_time_position(cars, ["car_id"], rows_per_piece=n))
+def test_every_large_key_of_many_is_split(spark):
+    many = spark.range(3000).select((F.col("id") % 60).alias("k"), "id")
+    hot = find_hot_keys(many, ["k"], ["id"], CUT)
+    pieces = ordered(many, ["k"], ["id"], hot).df.groupBy("k", "__piece").count().toPandas()
+    assert pieces["count"].max() <= 2 * CUT
+    assert (pieces.groupby("k").size() >= 2).all() and pieces.k.nunique() == 60
+
+
+def test_no_single_task_over_rows_or_samples(cars, monkeypatch):
+    seen = []
+    keep = hot_keys._counted_up
+    monkeypatch.setattr(hot_keys, "_counted_up", lambda *a: seen.append(keep(*a)) or seen[-1])
+    out = operators.stop_segments(cars, rows_per_piece=CUT)
+    for frame in (seen[0], out):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        single = [x for x in plan.split("\n") if "SinglePartition" in x]
+        # Only the sums of ranges and of pieces, a row each, come together.
+        assert len(single) <= 1
+    assert operators.stop_segments(cars, rows_per_piece=WHOLE).count() == out.count()
 
 
 def test_search_over_several_blocks(spark):

@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.shared import written
+
 ROWS_PER_PIECE = 4_000_000
 SAMPLES_PER_PIECE = 100
-MAX_PIECES = 16_384
 
 _HOT = "__hot"
 _PIECE = "__piece"
@@ -51,21 +52,22 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Look for keys with more than ``rows_per_piece`` rows; ``None`` if there are none.
 
-    Runs one job over a sample of the key and order columns. What comes back to
-    the driver is about one cut per ``rows_per_piece`` rows of hot keys. ``expand``
-    turns sampled rows into the rows that are to be cut, where those are dear.
+    Runs a job over a sample of the key and order columns, and further ones if there are
+    such keys. What comes back to the driver is about one cut per ``rows_per_piece`` rows
+    of hot keys. ``expand`` turns sampled rows into the rows that are to be cut, where
+    those are dear.
     """
     per_piece = min(SAMPLES_PER_PIECE, rows_per_piece)
     fraction = per_piece / rows_per_piece
     rows = expand(df.sample(fraction=fraction, seed=seed) if fraction < 1 else df)
     # Equal points are added up before the shuffle, so copies cost nothing here.
     points = rows.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
-    upto = F.sum("__n").over(
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    largest = points.groupBy(*keys).agg(F.sum("__n").alias("__n")).agg(F.max("__n")).first()[0]
+    if (largest or 0) < per_piece:
+        return None
     step = F.lit(per_piece)
     cuts = (
-        points.withColumn("__upto", upto)
+        _counted_up(points, keys, order)
         .where(F.floor(F.col("__upto") / step) > F.floor((F.col("__upto") - F.col("__n")) / step))
         .groupBy(*keys)
         .agg(
@@ -81,6 +83,26 @@ def find_hot_keys(
     return HotKeys(cuts.drop_columns("__n"), copies=most >= 2 * per_piece)
 
 
+def _counted_up(points: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``__upto``: how many sampled rows of its key there are up to each point.
+
+    The points are sorted in ranges, each in a task of its own, and only the sums of the
+    ranges are added up key by key. So no task sees all points of a key.
+    """
+    # Written, as the ranges of a second run need not be the same.
+    ranged = written(
+        points.repartitionByRange(*keys, *order).withColumn("__range", F.spark_partition_id())
+    )
+    inside = Window.partitionBy(*keys, "__range").orderBy(*order)
+    earlier = Window.partitionBy(*keys).orderBy("__range")
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__sum"))
+    before = F.sum("__sum").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*keys, "__range", F.coalesce(before, F.lit(0)).alias("__before"))
+    local = F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    both = _left_join(ranged.withColumn("__local", local), sums, [*keys, "__range"])
+    return both.withColumn("__upto", F.col("__local") + F.col("__before"))
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows in ``order`` within ``keys``, with a piece number where keys are hot."""
@@ -107,14 +129,14 @@ class Ordered:
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         point = F.struct(*self.order)
-        # One row per piece of a hot key, so the broadcast is bounded by the cuts.
+        # One row per piece of a hot key; Spark broadcasts them if they are few enough.
         carried = (
             self.df.where(_HOT)
             .groupBy(*self.partition)
             .agg(*[r.of_piece(point).alias(r.carry) for r in running])
             .withColumns({r.carry: r.fold(F.col(r.carry)).over(earlier) for r in running})
         )
-        joined = _join_bounded(self.df.withColumns(local), carried, self.partition)
+        joined = _left_join(self.df.withColumns(local), carried, self.partition)
         done = {r.name: r.finish(r.combine(F.col(r.name), F.col(r.carry))) for r in running}
         return replace(self, df=joined.withColumns(done).drop(*[r.carry for r in running]))
 
@@ -135,13 +157,8 @@ def ordered(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys | Non
 def _with_piece(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> DataFrame:
     table = df.sparkSession.createDataFrame(hot.cuts)
     longest = max(len(c) for c in hot.cuts[_CUTS])
-    # Thinning keeps the broadcast below MAX_PIECES cuts whatever the table size.
-    thin = -(-hot.count // MAX_PIECES)
-    if thin > 1:
-        kept = F.filter(_CUTS, lambda _, i: (i + 1) % F.lit(thin) == 0)
-        table = table.withColumn(_CUTS, kept).where(F.size(_CUTS) > 0)
     if keys:
-        df = _join_bounded(df, table, keys)
+        df = _left_join(df, table, keys)
     else:
         df = df.withColumn(_CUTS, table.select(_CUTS).scalar())
     # Binary search for the number of cuts up to the row, one comparison per column.
@@ -199,8 +216,8 @@ class Running:
         return F.last(value, ignorenulls=True)
 
 
-def _join_bounded(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """Left join with a bounded table; null keys match each other."""
+def _left_join(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with a small table; null keys match each other."""
     renamed = small.withColumnsRenamed({k: f"__small_{k}" for k in on})
     same = [F.col(k).eqNullSafe(F.col(f"__small_{k}")) for k in on]
-    return df.join(F.broadcast(renamed), same, "left").drop(*[f"__small_{k}" for k in on])
+    return df.join(renamed, same, "left").drop(*[f"__small_{k}" for k in on])

@@ -23,13 +23,14 @@ def rides_in_bbox(
 ) -> DataFrame:
     """Rides that start and end inside ``box``.
 
-    Name the watermarked column as ``event_time`` on a stream. The filter then
-    stays above the watermark, so that rides outside the box still advance time.
+    Rides whose column ``event_time`` is null are left out, if it is named. On a
+    stream it is the watermarked column; the filter then stays above the
+    watermark, so that rides outside the box still advance time.
     """
     inside = in_box(F.col("start_lon"), F.col("start_lat"), box) & in_box(
         F.col("end_lon"), F.col("end_lat"), box
     )
-    if rides.isStreaming and event_time is not None:
+    if event_time is not None:
         inside = F.when(F.col(event_time).isNull(), F.lit(False)).otherwise(inside)
     return rides.where(inside)
 

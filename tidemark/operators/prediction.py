@@ -25,11 +25,16 @@ REPLAY_ORDER = ["ts", "is_start", "ride_id"]
 def trips(
     rides: DataFrame, box: BoundingBox = NYC_BOX, grid: Grid = NYC_GRID
 ) -> DataFrame:
-    """What a model of travel times needs to know about each ride record in the box."""
+    """What a model of travel times needs to know about each ride record in the box.
+
+    Only starts and the ends that can train a model are of use: a record without a kind or a
+    time, and an end without distance or travel time, is left out.
+    """
     features = travel_features()
     if "ts" not in rides.columns:
         rides = rides.withColumn("ts", ride_event_time())
-    return rides_in_bbox(rides, box, event_time="ts").select(
+    of_use = F.col("is_start") | (F.col("distance_m").isNotNull() & F.col("travel_ms").isNotNull())
+    records = rides_in_bbox(rides, box, event_time="ts").select(
         "ride_id",
         "is_start",
         "ts",
@@ -38,6 +43,7 @@ def trips(
         features["distance_m"].alias("distance_m"),
         features["travel_ms"].alias("travel_ms"),
     )
+    return records.where(F.col("is_start").isNotNull() & of_use)
 
 
 def fitted_minutes(n: Column, x: Column, y: Column, xx: Column, xy: Column, at: Column) -> Column:
@@ -75,13 +81,13 @@ def predict_travel_time(
         return Running(name, "sum", F.when(ended, value), including=False)
 
     # Sums of products outgrow 64 bits on a large table.
-    product = "decimal(18,0)"
+    wide_x, wide_y = x.cast("decimal(14,0)"), y.cast("decimal(14,0)")
     rows = ordered(records, MODEL_KEYS, REPLAY_ORDER, hot).with_running(
         seen("n", F.lit(1).cast("long")),
         seen("x", x),
         seen("y", y),
-        seen("xx", (x * x).cast(product)),
-        seen("xy", (x * y).cast(product)),
+        seen("xx", wide_x * wide_x),
+        seen("xy", wide_x * wide_y),
     )
     minutes = fitted_minutes(*map(F.col, ("n", "x", "y", "xx", "xy")), x)
     return (

@@ -20,9 +20,11 @@ def stop_segments(
 
     Without ``keys`` all events form one sequence. Segments of length 0 (usually a
     stop right after a stop) are left out, and so are events after the last stop.
-    ``order`` is the sequence; its first column is the event time.
+    ``order`` is the sequence; its first column is the event time. Events without
+    a time are left out.
     """
     keys, order, ts = list(keys or []), list(order), order[0]
+    events = events.where(F.col(ts).isNotNull())
     hot = find_hot_keys(events, keys, order, rows_per_piece)
     copies = hot is not None and hot.copies
     is_stop = F.coalesce(F.col(speed) == F.lit(0.0), F.lit(False)).alias("__stop")

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from tidemark import operators, sources, streaming
 from tidemark.functions.geo import grid_cell_center, travel_features
 from tidemark.plans import oracle, views
-from tidemark.plans.runs import run_appending, run_updating, scratch_dir
+from tidemark.plans.runs import run_appending, run_updating
+from tidemark.shared import scratch_dir
 
 PLACES = {
     "grid": views.COARSE_GRID,

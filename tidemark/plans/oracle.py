@@ -207,17 +207,17 @@ def predict_travel_time() -> str:
     )
     return f"""with {_features()},
         sums as (
-            select ride_id, is_start, distance_m as d,
-                   count(*) filter (not is_start) {seen} as n,
-                   coalesce(sum(distance_m) filter (not is_start) {seen}, 0) as x,
-                   coalesce(sum(travel_ms) filter (not is_start) {seen}, 0) as y,
-                   coalesce(sum(distance_m * distance_m) filter (not is_start) {seen}, 0) as xx,
-                   coalesce(sum(distance_m * travel_ms) filter (not is_start) {seen}, 0) as xy
+            select ride_id, is_start, ts, distance_m as d,
+                   count(*) filter (not is_start and distance_m is not null and travel_ms is not null) {seen} as n,
+                   coalesce(sum(distance_m) filter (not is_start and distance_m is not null and travel_ms is not null) {seen}, 0) as x,
+                   coalesce(sum(travel_ms) filter (not is_start and distance_m is not null and travel_ms is not null) {seen}, 0) as y,
+                   coalesce(sum(distance_m * distance_m) filter (not is_start and distance_m is not null and travel_ms is not null) {seen}, 0) as xx,
+                   coalesce(sum(distance_m * travel_ms) filter (not is_start and distance_m is not null and travel_ms is not null) {seen}, 0) as xy
             from features),
         lines as (
             select ride_id, d, n, x, y, cast(n * xx - x * x as double) as spread,
                    cast(n * xy - x * y as double) as covered
-            from sums where is_start)
+            from sums where is_start and ts is not null)
         select ride_id, case when n >= 2 and spread > 0 then cast(round(
                    (cast(y as double) + covered / spread
                       * (cast(n as double) * cast(d as double) - cast(x as double)))

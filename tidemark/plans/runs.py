@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from tidemark.shared import scratch_dir
 from tidemark.streaming.watermark import strict_lateness
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the session's checkpoint folder, which all executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        # Only a local session goes without one.
-        shared = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-
-
 def run_appending(stream: DataFrame) -> DataFrame:
     """All rows the stream appends until its input is used up."""
     spark, scratch = stream.sparkSession, scratch_dir(stream.sparkSession)

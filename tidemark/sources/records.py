@@ -25,12 +25,13 @@ def rides_to_records(rides: DataFrame) -> DataFrame:
 def records_to_rides(records: DataFrame) -> DataFrame:
     """Rides out of message values; a malformed value is kept in ``_corrupt_record``.
 
-    Use `tidemark.sources.usable` and `rejected` to part the two.
+    A message without a value holds no ride and gives no row. Use `tidemark.sources.usable` and `rejected` to part the two.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RIDE_SCHEMA)
     options = {**_CSV, "columnNameOfCorruptRecord": CORRUPT}
     ride = F.from_csv(F.col("value").cast("string"), f"{fields}, {CORRUPT} string", options)
-    return records.select(ride.alias("ride")).select("ride.*")
+    # Taken apart by inline, a value is parsed once and not for every field and filter.
+    return records.where(F.col("value").isNotNull()).select(F.inline(F.array(ride)))
 
 
 def write_ride_topic(

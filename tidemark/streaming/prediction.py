@@ -27,7 +27,9 @@ def predict_travel_time_stream(
     that arrived so far. Records of one micro-batch are taken in event-time order.
     Write the result in append mode.
     """
-    rows = trips(rides, box, grid).withColumn("us", F.unix_micros("ts")).drop("ts")
+    # A start needs no travel time; a null would turn the whole column into floats.
+    known = F.coalesce("travel_ms", F.lit(0).cast("bigint"))
+    rows = trips(rides, box, grid).withColumns({"us": F.unix_micros("ts"), "travel_ms": known}).drop("ts")
     seen = rows.groupBy(*MODEL_KEYS).applyInPandasWithState(
         _learn, f"ride_id bigint, at bigint, {_MODEL}", _MODEL, "append", GroupStateTimeout.NoTimeout
     )
@@ -44,7 +46,9 @@ def _learn(key, batches, state):
     ended = ~is_start[order].astype(bool)
     at, ride_id = x[order][~ended], ride_id[order][~ended]
     x, y = x[order] * ended, y[order] * ended
-    learned = [np.cumsum(v) for v in (ended.astype("int64"), x, y, x * x, x * y)]
+    # Products outgrow 64 bits, so they are added up as Python's integers.
+    big_x, big_y = x.astype(object), y.astype(object)
+    learned = [np.cumsum(v) for v in (ended.astype("int64"), x, y, big_x * big_x, big_x * big_y)]
     if len(at):
         # A start adds nothing to the sums, so its own row holds what came before it.
         n, sum_x, sum_y = (v[~ended] + base for v, base in zip(learned[:3], model[:3]))

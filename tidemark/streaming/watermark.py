@@ -26,8 +26,12 @@ def with_event_watermark(events: DataFrame, ts: str = "ts", lag_ms: int = 0) ->
 
 
 def with_ride_watermark(rides: DataFrame, lag: str = RIDE_LAG) -> DataFrame:
-    """Add the event time ``ts`` of ride records, with a watermark on it."""
-    return rides.withColumn("ts", ride_event_time()).withWatermark("ts", lag)
+    """Add the event time ``ts`` of ride records, with a watermark on it.
+
+    Records without a time cannot be placed and are left out.
+    """
+    timed = rides.withColumn("ts", ride_event_time()).where(F.col("ts").isNotNull())
+    return timed.withWatermark("ts", lag)
 
 
 @contextmanager
