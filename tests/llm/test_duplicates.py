@@ -84,7 +84,7 @@ def test_near_duplicates_equal_brute_force(spark, most):
     assert all(r.kept == (i == expected[i]) for i, r in got.items())
 
 
-@pytest.mark.parametrize("extra", CLASHING[:2])
+@pytest.mark.parametrize("extra", ("class_id",))
 def test_near_duplicates_of_odd_rows(spark, extra):
     frame = documents(spark, odd_rows(), extra)
     got = minhash.near_duplicates(frame).collect()
@@ -128,7 +128,7 @@ def test_lines_equal_brute_force_and_sql(spark):
     assert {i: (r.n_lines, r.n_removed, r.text) for i, r in got.items()} == expected
 
 
-@pytest.mark.parametrize("extra", CLASHING)
+@pytest.mark.parametrize("extra", CLASHING[1:4])
 def test_odd_rows_in_lines_and_spans(spark, extra):
     frame = documents(spark, odd_rows(), extra)
     for out in (lines.repeated_lines_removed(frame), spans.repeated_spans_removed(frame, least_words=6)):

@@ -105,8 +105,9 @@ def edited_fingerprints(documents: DataFrame, parts: int) -> DataFrame:
     )
     # Descending ids, nulls last, as ascending ranks of one column without nulls.
     ranked = ids.withColumn("_null", F.col("doc_id").isNull())
-    cuts = ids.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.5 / parts)
-    low = sorted(set(map(int, cuts)))
+    shares = [i / parts for i in range(1, parts)]
+    quantiles = F.percentile_approx("doc_id", shares, max(10_000, 20 * parts)) if shares else F.lit(None)
+    low = sorted(set(ids.agg(quantiles).first()[0] or []))
     bounds = F.array(*map(F.lit, low)) if low else F.array().cast("array<bigint>")
     # Range 0 has the largest ids; nulls come last.
     part = F.when(F.col("_null"), F.lit(len(low))).otherwise(
