@@ -89,7 +89,7 @@ def test_odd_rows(spark, extra):
     for parts in (1, 4):
         assert phrases.edited_fingerprints(frame, parts).count() == n
     got = {r.doc_id: r.fingerprint for r in phrases.fingerprints(frame).collect()}
-    assert got[1] == got[2] and got[3] == got[4] and got[6] != got[7]
+    assert got[1] == got[2] and got[3] == got[4] and got[1] != got[6]
     assert phrases.edited_fingerprints(frame.limit(0), 4).count() == 0
     assert phrases.edited_fingerprints(frame.where("doc_id = 8"), 4).count() == 1
     assert phrases.edited_fingerprints(frame.where("doc_id is null"), 4).count() == 2
