@@ -34,7 +34,8 @@ def repeated_spans_removed(
     parts = rows.where("doc_id is not null and text is not null").select(
         "doc_id", "_row", F.transform(F.split(F.lower("text"), _END, -1), _bare).alias("parts")
     )
-    runs = later_runs(parts, sentences, _words(F.array_join("run", " ")) >= least_words)
+    words = sum((_words(F.col("run")[i]) for i in range(sentences)), F.lit(0))
+    runs = later_runs(parts, sentences, words >= least_words)
     left = without_runs(rows, runs, sentences, split, "")
     return unpacked(
         left,
@@ -46,9 +47,9 @@ def repeated_spans_removed(
 
 
 def _bare(sentence: Column) -> Column:
-    return F.regexp_replace(sentence, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    return F.btrim(sentence, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def _words(text: Column) -> Column:
-    # Spaces of the joined run; white space inside sentences counts once a character.
-    return F.length(text) - F.length(F.translate(text, " \t", "")) + 1
+    # White space inside a sentence counts once a character.
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
