@@ -180,6 +180,22 @@ def test_leaks_reach_the_recall_of_brute_force(spark):
     assert exact and all(got[k][0] == 0 for k in exact)
 
 
+@pytest.mark.parametrize("n", [40, 60, 100, 200])
+def test_walks_meet_items_at_the_limit_of_edits(n):
+    rng, c = np.random.default_rng(n), decontaminate.length_class(n)
+    most = decontaminate.most_edits(n, decontaminate.EDITS)
+    items = rng.integers(1, 2**63, (100, n), dtype=np.uint64)
+    leaks = items.copy()
+    for leak in leaks:
+        leak[rng.choice(n, most, replace=False)] = rng.integers(1, 2**63, most, dtype=np.uint64)
+    # The window of a document is as wide as the widest item of the class.
+    wide = np.hstack([leaks, rng.integers(1, 2**63, (100, n), dtype=np.uint64)])
+    starts = np.arange(100)
+    own = decontaminate.lsh_keys(items.ravel(), starts * n, (starts + 1) * n, c)
+    seen = decontaminate.lsh_keys(wide.ravel(), starts * 2 * n, starts * 2 * n + decontaminate.class_lengths(c)[1], c)
+    assert (own == seen).any(axis=1).sum() >= 95
+
+
 def test_edit_distance():
     rng = random.Random(1)
     for _ in range(200):

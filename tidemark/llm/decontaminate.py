@@ -13,14 +13,14 @@ from tidemark.llm.common import hash_words, map_batches, mixed, stored, texts
 
 EDITS = 0.2
 SHORTEST_ITEM = 8
-# Each table samples four coordinates of a walk. A leak of which the walk agrees with the item's
-# in 60 % of its coordinates meets it in one of the tables with probability 0.98, an exact one always.
-WALKS, TABLES_PER_WALK, SAMPLED = 4, 8, 4
+# Each table samples four coordinates of a walk. An exact leak meets its item in all tables. Walks
+# drift apart with every edit, so that of longer items more walks are needed: so many a word.
+LEAST_WALKS, WALKS_PER_WORD, TABLES_PER_WALK, SAMPLED = 8, 0.3, 8, 4
 _CLASS_GROWTH = 1.1
 # Bits of the two filters; their size does not follow the benchmark's.
 _RUN_BITS, _KEY_BITS = 23, 23
 _RUN = 3
-_WORDS_AT_ONCE, _WINDOWS_AT_ONCE = 250_000, 50_000
+_WORDS_AT_ONCE, _KEYS_AT_ONCE = 250_000, 1_600_000
 _RUN_WEIGHTS = np.random.default_rng(3).integers(1, 2**63, _RUN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PUNCTUATION = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
@@ -102,19 +102,23 @@ def class_lengths(c: int) -> tuple[int, int]:
     return low, high
 
 
+def walks_of(c: int) -> int:
+    return max(LEAST_WALKS, math.ceil(WALKS_PER_WORD * class_lengths(c)[1]))
+
+
 _WALKS: dict[int, list] = {}
 
 
 def lsh_keys(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, c: int) -> np.ndarray:
     """Keys (windows x tables) of the windows ``starts`` to ``ends`` for items of class ``c``."""
-    keys = np.zeros((WALKS * TABLES_PER_WALK, len(starts)), np.uint64)
+    keys = np.zeros((walks_of(c) * TABLES_PER_WALK, len(starts)), np.uint64)
     last = len(hashes) - 1
     for bits, sampled in _walks(c):
         at = starts.copy()
         for bit, columns in zip(bits, sampled):
             symbol = np.where(at < ends, hashes[np.minimum(at, last)], np.uint64(0))
             for column in columns:
-                keys[column] = mixed(keys[column] + symbol + np.uint64(column + 64 * c + 1))
+                keys[column] = mixed(keys[column] + symbol + np.uint64(column + (c << 32) + 1))
             at += ((symbol * bit) >> np.uint64(63)).astype(np.int64)
     return keys.T
 
@@ -127,7 +131,7 @@ def _walks(c: int) -> list[tuple[np.ndarray, list[list[int]]]]:
     if c in _WALKS:
         return _WALKS[c]
     steps, rng, walks = 2 * class_lengths(c)[0], np.random.default_rng(1000 + c), []
-    for walk in range(WALKS):
+    for walk in range(walks_of(c)):
         sampled: list[list[int]] = [[] for _ in range(steps)]
         for table in range(TABLES_PER_WALK):
             for step in rng.choice(steps, SAMPLED, replace=False):
@@ -156,14 +160,21 @@ def _indexed(benchmark: DataFrame) -> DataFrame:
 
     def rows(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("item_id", "item_row", "words", "keys", "length_class")}
+        alike: dict[int, list] = {}
         for item, row, text in zip(*(batch.column(k).to_pylist() for k in ("item_id", "item_row", "text"))):
             found = item_words(text)
-            if len(found) < SHORTEST_ITEM or item is None:
-                continue
-            c = length_class(len(found))
-            keys = lsh_keys(found, np.zeros(1, np.int64), np.array([len(found)]), c)[0]
-            for k, v in zip(out, (item, row, found.tobytes(), keys.view(np.int64).tolist(), c)):
-                out[k].append(v)
+            if len(found) >= SHORTEST_ITEM and item is not None:
+                alike.setdefault(length_class(len(found)), []).append((item, row, found))
+        for c, members in alike.items():
+            at_once = max(1, _KEYS_AT_ONCE // (walks_of(c) * TABLES_PER_WALK))
+            for i in range(0, len(members), at_once):
+                some = members[i : i + at_once]
+                ends = np.cumsum([len(found) for *_, found in some])
+                starts = ends - [len(found) for *_, found in some]
+                keys = lsh_keys(np.concatenate([found for *_, found in some]), starts, ends, c).copy()
+                for (item, row, found), own in zip(some, keys):
+                    for k, v in zip(out, (item, row, found.tobytes(), own.view(np.int64).tolist(), c)):
+                        out[k].append(v)
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32())
         return {k: pa.array(v, kind) for (k, v), kind in zip(out.items(), kinds)}
 
@@ -256,8 +267,9 @@ def _near(part, run_map, key_map, classes, edits):
         ends = np.minimum(place + class_lengths(c)[1], own_end)
         enough = known[ends] - known[place] >= runs_left(c, edits)
         starts, ends = place[enough], ends[enough]
-        for i in range(0, len(starts), _WINDOWS_AT_ONCE):
-            first, last = starts[i : i + _WINDOWS_AT_ONCE], ends[i : i + _WINDOWS_AT_ONCE]
+        at_once = max(1, _KEYS_AT_ONCE // (walks_of(c) * TABLES_PER_WALK))
+        for i in range(0, len(starts), at_once):
+            first, last = starts[i : i + at_once], ends[i : i + at_once]
             keys = lsh_keys(hashes, first, last, c)
             hit = key_map[keys >> np.uint64(64 - _KEY_BITS)]
             met = np.flatnonzero(hit.any(axis=1))
