@@ -123,6 +123,16 @@ def test_toxicity_holds_on_held_out_rows(spark):
     assert toxicity.fit(frame, labels.where(~toxicity.held_out()).union(wrong)) == model
 
 
+def test_toxic_words_may_be_short_or_rare(spark):
+    ordinary = [(0, f"the old house by sea number{i % 50}") for i in range(1600)]
+    toxic = [(1, f"the old house by sea number{i % 50}" + " zog" * (i % 2) + " grumblefink" * (i < 10)) for i in range(800)]
+    found = toxicity._toxic_words(spark.createDataFrame(ordinary + toxic, "toxic int, text string"))
+    # One in two toxic texts has the word of three letters, one in eighty the rare one.
+    assert found == b" grumblefink zog "
+    pair = toxicity.Model(found, b"", (0.0,) * 4).compressors()
+    assert toxicity.savings(b"zog", pair, {})[0] >= 1 and toxicity.savings(b"sea", pair, {})[0] < 1
+
+
 @pytest.mark.parametrize("extra", ("toxic",))
 def test_toxicity_of_odd_rows(spark, extra):
     frame = documents(spark, odd_rows(), extra)

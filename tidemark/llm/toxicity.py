@@ -20,9 +20,9 @@ _REMEMBERED = 500_000
 TOXIC_TEXTS, ORDINARY_TEXTS, WINDOWS_PER_TEXT = 2_000, 6_000, 60
 HARD_WINDOWS = 600
 DICTIONARY_BYTES, TOXIC_WORDS = 8_192, 800
-# A stem (how a word begins, of so many letters) is toxic text if this share of the toxic sample
-# has it and it is that much likelier there.
-STEM_LETTERS, STEM_SHARE, STEM_RATIO = (4, 9), 0.015, 20.0
+# A stem (how a word begins, of so many letters) is toxic text if it is that much likelier in the
+# toxic sample and chance alone would hardly show so of any of the stems looked at.
+STEM_LETTERS, STEM_RATIO = (1, 9), 20.0
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -176,11 +176,12 @@ def _toxic_words(sample: DataFrame) -> bytes:
     counts = each.groupBy("word").agg(F.count(F.when(F.col("toxic") == 1, 1)).alias("n"))
     stems = sample.select("toxic", F.explode(F.array_distinct(F.flatten(F.transform(words, _stems)))).alias("stem"))
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    kinds = stems.groupBy("stem").agg(
-        *(F.count(F.when(F.col("toxic") == k, 1)).alias(f"n{k}") for k in (0, 1))
+    kinds = stored(
+        stems.groupBy("stem").agg(*(F.count(F.when(F.col("toxic") == k, 1)).alias(f"n{k}") for k in (0, 1)))
     )
     likelier = ((F.col("n1") + 0.5) / (n[1] + 1)) / ((F.col("n0") + 0.5) / (n[0] + 1))
-    toxic = kinds.where((F.col("n1") >= STEM_SHARE * n[1]) & (likelier >= STEM_RATIO)).select("stem")
+    chance = 2 * float(np.log(max(1, kinds.count())))
+    toxic = kinds.where((_evidence(n[1], n[0]) >= chance) & (likelier >= STEM_RATIO)).select("stem")
     best = (
         counts.where("n > 0")
         .select("word", "n", F.explode(_stems(F.col("word"))).alias("stem"))
@@ -194,6 +195,15 @@ def _toxic_words(sample: DataFrame) -> bytes:
     return (" " + " ".join(r.word for r in reversed(best)) + " ").encode() if best else b""
 
 
+def _evidence(toxic: int, ordinary: int):
+    """The log likelihood ratio (G) of ``n1`` of the toxic and ``n0`` of the ordinary texts."""
+    total, both, g = toxic + ordinary, F.col("n1") + F.col("n0"), F.lit(0.0)
+    for n, column in ((toxic, "n1"), (ordinary, "n0")):
+        for seen, share in ((F.col(column), both / total), (n - F.col(column), 1 - both / total)):
+            g += F.when(seen > 0, 2 * seen * F.log(seen / (n * share))).otherwise(0.0)
+    return g
+
+
 def _stems(word):
     few, many = STEM_LETTERS
     lengths = F.filter(F.sequence(F.lit(few), F.lit(many)), lambda n: n <= F.length(word))
