@@ -179,6 +179,23 @@ def test_spans_equal_brute_force(spark):
         assert bool(got[i].repeats_of) == bool(got[i].n_removed)
 
 
+def test_spans_catch_passages_of_long_sentences(spark):
+    rng = random.Random(4)
+
+    def some(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    rows = []
+    for i in range(40):
+        passage = some(60)
+        rows += [(2 * i, " ".join(some(15) + passage + some(9))), (2 * i + 1, " ".join(some(22) + passage + some(30)))]
+    got = {r.doc_id: r for r in spans.repeated_spans_removed(documents(spark, rows)).collect()}
+    assert all(got[i].text == t for i, t in rows if i % 2 == 0)
+    assert sum(got[i].n_removed > 0 and got[i].repeats_of == [i - 1] for i, _ in rows if i % 2) >= 36
+    marked = " ".join(some(12)) + " \x01\ufdd0 " + " ".join(some(12))
+    assert spans.repeated_spans_removed(documents(spark, [(1, marked)])).first().text == marked
+
+
 def test_spans_catch_a_pasted_passage_and_leave_clean_text(spark):
     passage = "And so it was, said the old man, that nobody came back; the road was long, " * 4
     clean = "This text is nobody else's. It stands alone. Nothing in it is repeated anywhere at all."

@@ -12,6 +12,12 @@ LEAST_WORDS = 12
 # A sentence ends behind white space after one of these marks, and behind a line end. Commas
 # and the like count, so that a passage pasted into the middle of a sentence has inner ends.
 _END = r"(?<=[.!?;:,][ \t\r])|(?<=\n)"
+# Behind so many words without an end, one word in CUT_ONE_IN, chosen by its hash, ends a piece, so
+# that passages of long sentences, too, have inner ends wherever they are pasted.
+LONG_WORDS, CUT_ONE_IN = 8, 5
+_WORD_START = r"(?<=[ \t\r])(?=[^ \t\r])"
+# A noncharacter marks the cuts; a text that has it by itself is cut at its ends only.
+_CUT = "\x01\ufdd0"
 
 
 def repeated_spans_removed(
@@ -20,7 +26,8 @@ def repeated_spans_removed(
     """``documents`` with ``n_sentences, n_removed, repeats_of``, and ``text`` without repeats.
 
     Every run of ``sentences`` consecutive sentences with at least ``least_words`` words is
-    looked up over all documents, in lower case and without white space around sentences. Of
+    looked up over all documents, in lower case and without white space around sentences. Long
+    sentences are cut into several at words that their hashes choose. Of
     equal runs the one with the smallest ``doc_id`` and position stays; the sentences that any
     other covers are removed, so a passage goes as a whole with all runs inside it.
     ``repeats_of`` lists the documents that have the first occurrences.
@@ -29,10 +36,10 @@ def repeated_spans_removed(
     looked at. Rows that repeat both id and text count as one document and change alike.
     No documents give no rows; further columns are passed on, but for any of the added names.
     """
-    split = F.split("text", _END, -1)
+    split = _pieces(F.col("text"))
     rows = with_row(documents)
     parts = rows.where("doc_id is not null and text is not null").select(
-        "doc_id", "_row", F.transform(F.split(F.lower("text"), _END, -1), _bare).alias("parts")
+        "doc_id", "_row", F.transform(split, lambda p: _bare(F.lower(p))).alias("parts")
     )
     words = sum((_words(F.col("run")[i]) for i in range(sentences)), F.lit(0))
     runs = later_runs(parts, sentences, words >= least_words)
@@ -46,6 +53,20 @@ def repeated_spans_removed(
     )
 
 
+def _pieces(text: Column) -> Column:
+    def marked(word: Column, i: Column) -> Column:
+        chosen = (i >= LONG_WORDS) & (F.pmod(F.xxhash64(_bare(F.lower(word))), F.lit(CUT_ONE_IN)) == 0)
+        return F.when(chosen, F.concat(word, F.lit(_CUT))).otherwise(word)
+
+    def cut(sentence: Column) -> Column:
+        joined = F.array_join(F.transform(F.split(sentence, _WORD_START, -1), marked), "")
+        inner = F.filter(F.split(joined, _CUT, -1), lambda p: p != "")
+        long = (_words(sentence) > LONG_WORDS) & ~F.contains(sentence, F.lit(_CUT))
+        return F.when(long, inner).otherwise(F.array(sentence))
+
+    return F.flatten(F.transform(F.split(text, _END, -1), cut))
+
+
 def _bare(sentence: Column) -> Column:
     return F.btrim(sentence, F.lit(" \t\n\r\x0b\x0c"))
 
