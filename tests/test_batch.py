@@ -75,6 +75,18 @@ def test_popular_places_threshold_is_strict(spark):
     assert found[0].lat == pytest.approx(HERE[1], abs=0.00125)
 
 
+def test_popular_places_of_ride_files(spark, tmp_path):
+    # Files have no column ts, neither in sight nor below a projection.
+    data = [(i, True, 0.0, 60.0, -73.98, 40.75, -73.98, 40.75) for i in range(21)]
+    no_time = [(i, True, None, 60.0, -73.98, 40.75, -73.98, 40.75) for i in range(21, 30)]
+    columns = [f.name for f in sources.RIDE_SCHEMA]
+    _rides(spark, data + no_time).select(columns).write.csv(str(tmp_path / "rides"), compression="gzip")
+    rides = sources.read_rides(spark, str(tmp_path / "rides"))
+    found = operators.popular_places(rides)
+    assert [r.cnt for r in found.collect()] == [21] * 3
+    assert operators.popular_places(sources.usable(rides, "start_time")).count() == 3
+
+
 def test_popular_places_counts_starts_and_ends_apart(spark):
     data = [
         (1, True, 0.0, 60.0, *HERE, *THERE),

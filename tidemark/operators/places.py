@@ -62,7 +62,7 @@ def popular_places(
     ``is_start`` and ``cnt``. A stream needs a watermarked column ``ts`` from
     `tidemark.streaming.watermark.with_ride_watermark`; write it in append mode.
     """
-    rides = ride_cells(rides_in_bbox(rides, box, event_time="ts"), grid)
+    rides = rides_in_bbox(ride_cells(rides, grid), box, event_time="ts")
     if rides.isStreaming or not _divides(slide, window):
         counts = rides.groupBy(F.window("ts", window, slide), "cell", "is_start").agg(
             F.count(F.lit(1)).alias("cnt")
