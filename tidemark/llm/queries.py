@@ -13,12 +13,14 @@ from tidemark.llm import (
     idcoder,
     lines,
     minhash,
+    negatives,
     phrases,
     pieces,
     spans,
     tokencache,
     toxicity,
     url_graph,
+    whitening,
 )
 from tidemark.llm.common import shared_folder
 
@@ -60,6 +62,7 @@ URL_RULES = [
 ]
 TOKEN_LIMIT = 2048
 END_ID = 2
+ANCHOR_STEP = 50
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +109,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchors = vectors.where(F.col("vec_id") % ANCHOR_STEP == 0).select("vec_id")
+    return negatives.hard_negatives(vectors.withColumn("label", shifted), anchors)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -117,6 +131,8 @@ QUERIES: dict[str, Query] = {
     "op8_token_output": op8_token_output,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 
