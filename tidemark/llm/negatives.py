@@ -20,7 +20,7 @@ LEAST_PERCENT, MOST_PERCENT = 50, 95
 _SLOTS = 16
 _ANCHORS_AT_ONCE = 512
 _LIMIT = 2**62 - 1
-_TREE = "tree long, least long, most long, ids binary, labels binary, points binary, counts binary, fields binary"
+_TREE = "tree long, least long, most long, within array<long>, ids binary, labels binary, points binary, counts binary, fields binary"
 _FOUND = "anchor_id long, positive_id long, positive_score long, id long, score long"
 
 
@@ -67,13 +67,7 @@ def hard_negatives(
         "*", F.array(F.lit(0).cast("long")).alias("mark"), everything[0].alias("low"), everything[1].alias("high")
     )
     spans = trees.select("tree", "least", "most")
-    own = spans.select("tree", F.explode(F.array_distinct(F.array("least", "most"))).alias("label"))
-    # A tree of more than two labels is met by way of each label that lies in it.
-    inner_labels = rows.select("label").distinct()
-    between = spans.where("most > least + 1").join(
-        inner_labels, (F.col("label") > F.col("least")) & (F.col("label") < F.col("most"))
-    )
-    own = own.unionByName(between.select("tree", "label"))
+    own = trees.select("tree", F.explode("within").alias("label"))
     near = _searched(trees, unlimited.join(own, "label"), same=True, k=positives)
     by_anchor = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "id")
     chosen = stored(
@@ -122,6 +116,7 @@ def _trees(batches):
             number = (task << 32) + made
             made += 1
             columns = [pa.array([v], pa.int64()) for v in (number, int(labels.min()), int(labels.max()))]
+            columns.append(pa.array([np.unique(labels).tolist()], pa.list_(pa.int64())))
             columns += [pa.array([v], pa.binary()) for v in packed]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _TREE.split(", ")])
 

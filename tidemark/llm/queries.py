@@ -12,6 +12,7 @@ from tidemark.llm import (
     decontaminate,
     idcoder,
     lines,
+    maintext,
     minhash,
     negatives,
     phrases,
@@ -109,6 +110,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return maintext.main_texts(pages, maintext.fit(pages))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -131,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_output": op8_token_output,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_html_extraction": op11_html_extraction,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_whitening": op13_whitening,
 }
