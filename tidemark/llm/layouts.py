@@ -47,6 +47,10 @@ class Layouts:
         last = [self.part("footer")] if chance(0.8) else []
         if chance(0.3):
             behind, front = behind[1:], front + behind[:1]
+        if chance(0.15):
+            behind = last = []
+        if chance(0.1):
+            front = []
         body = "".join([*front, self.main(), *behind, *last])
         for _ in range(int(self.rng.integers(0, 3))):
             body = self.wrap(("div",), ("page", "wrapper", "container", "site", "layout", "root", "row", "col", ""), body)
