@@ -236,11 +236,12 @@ def test_restart_from_checkpoint(spark, tmp_path, sf_dir):
         write_batches(frames[upto - 2 : upto], str(tmp_path / "in"))
         stream = stream_of(spark, rides.schema, str(tmp_path / "in"))
         predicted = streaming.predict_travel_time_stream(stream, grid=views.COARSE_GRID)
-        query = (
-            predicted.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
-            .trigger(availableNow=True)
-            .start(str(tmp_path / "out"), format="parquet")
-        )
+        with streaming.keyed_processors(spark):
+            query = (
+                predicted.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+                .trigger(availableNow=True)
+                .start(str(tmp_path / "out"), format="parquet")
+            )
         query.awaitTermination()
 
     run(2)
@@ -277,7 +278,7 @@ def test_state_functions_need_no_package_on_executors():
 
     from tidemark.streaming import asof, prediction, segments
 
-    for function in (prediction._learn, asof._advance("k", True), segments._advance(["k"])):
+    for function in (prediction._Learn(), asof._AsOf("k", True, 1000), segments._Follow(["k"], 1000)):
         assert b"tidemark.streaming.state" not in pickle_imports(cloudpickle.dumps(function))
         assert pickle.loads(cloudpickle.dumps(function)) is not None
 

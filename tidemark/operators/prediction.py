@@ -19,6 +19,7 @@ from tidemark.operators.hot_keys import ROWS_PER_PIECE, Running, find_hot_keys,
 from tidemark.operators.places import rides_in_bbox
 
 MODEL_KEYS = ["cell", "bucket"]
+MODEL_SUMS = ["n", "x", "y", "xx", "xy"]
 REPLAY_ORDER = ["ts", "is_start", "ride_id"]
 
 
@@ -60,6 +61,19 @@ def fitted_minutes(n: Column, x: Column, y: Column, xx: Column, xy: Column, at:
     return F.when((n >= 2) & (spread > 0), minutes)
 
 
+def travel_models(rides: DataFrame, box: BoundingBox = NYC_BOX, grid: Grid = NYC_GRID) -> DataFrame:
+    """What all end records of a table teach: ``cell, bucket`` and five sums, one row a model.
+
+    A stream of later records can begin with it (`predict_travel_time_stream`).
+    """
+    x, y = F.col("distance_m"), F.col("travel_ms")
+    # Sums of products outgrow 64 bits on a large table.
+    wide_x, wide_y = x.cast("decimal(14,0)"), y.cast("decimal(14,0)")
+    sums = {"n": F.count(F.lit(1)), "x": F.sum(x), "y": F.sum(y), "xx": F.sum(wide_x * wide_x), "xy": F.sum(wide_x * wide_y)}
+    typed = [v.cast("decimal(38,0)" if len(c) == 2 else "bigint").alias(c) for c, v in sums.items()]
+    return trips(rides, box, grid).where(~F.col("is_start")).groupBy(*MODEL_KEYS).agg(*typed)
+
+
 def predict_travel_time(
     rides: DataFrame,
     box: BoundingBox = NYC_BOX,

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import operators, sources, streaming
-from tidemark.functions.geo import grid_cell_center, travel_features
+from tidemark.functions.geo import grid_cell_center, ride_event_time, travel_features
 from tidemark.plans import oracle, views
 from tidemark.plans.runs import run_appending, run_updating
 from tidemark.shared import scratch_dir
+from tidemark.streaming import EndMarker
 
 PLACES = {
     "grid": views.COARSE_GRID,
@@ -21,7 +22,9 @@ PLACES = {
     "threshold": views.COARSE_THRESHOLD,
 }
 CAR_GAP = "6 hours"
-LAG_MS = 5000
+LAG = "5 seconds"
+# The events of a car are hours apart.
+STRETCH, PIECE = "7 days", "1 day"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +48,7 @@ def rides_in_bbox(spark, sf_dir):
 
 def rides_in_bbox_stream(spark, sf_dir):
     rides = streaming.with_ride_watermark(views.rides(spark, sf_dir, stream=True))
-    return run_appending(operators.rides_in_bbox(rides, event_time="ts").drop("ts"))
+    return run_appending(operators.rides_in_bbox(rides, event_time="ts").drop("ts"), processors=False)
 
 
 def grid_cells(spark, sf_dir):
@@ -60,8 +63,14 @@ def popular_places(spark, sf_dir):
 
 
 def popular_places_stream(spark, sf_dir):
-    rides = streaming.with_ride_watermark(views.rides(spark, sf_dir, stream=True))
-    return run_appending(operators.popular_places(rides, **PLACES))
+    rides, end = _ended(spark, _timed(views.rides(spark, sf_dir, stream=True)))
+    return run_appending(operators.popular_places(rides, **PLACES), end, processors=False)
+
+
+def popular_places_panes_stream(spark, sf_dir):
+    rides, end = _ended(spark, _timed(views.rides(spark, sf_dir, stream=True)))
+    places = operators.popular_places(rides, by_panes=True, **PLACES)
+    return run_appending(places, end, processors=False, chained=True)
 
 
 def place_documents(spark, sf_dir):
@@ -73,8 +82,9 @@ def gap_segments(spark, sf_dir):
 
 
 def gap_segments_stream(spark, sf_dir):
-    events = _car_stream(spark, sf_dir)
-    return _rounded(run_appending(operators.gap_segments(events, ["car_id"], CAR_GAP)))
+    events, end = _ended(spark, views.car_events(spark, sf_dir, stream=True))
+    segments = operators.gap_segments(events, ["car_id"], CAR_GAP)
+    return _rounded(run_appending(segments, end, processors=False))
 
 
 def stop_segments_by_car(spark, sf_dir):
@@ -86,8 +96,15 @@ def stop_segments_global(spark, sf_dir):
 
 
 def stop_segments_stream(spark, sf_dir):
-    events = _car_stream(spark, sf_dir)
-    return _rounded(run_appending(streaming.stop_segments_stream(events, ["car_id"])))
+    events, end = _ended(spark, views.car_events(spark, sf_dir, stream=True))
+    segments = streaming.stop_segments_stream(events, ["car_id"], stretch=STRETCH)
+    return _rounded(run_appending(segments, end))
+
+
+def stop_segments_global_stream(spark, sf_dir):
+    events, end = _ended(spark, views.car_events(spark, sf_dir, stream=True))
+    segments = streaming.stop_segments_stream(events, piece=PIECE)
+    return _rounded(run_appending(segments, end, chained=True))
 
 
 def event_time_sort(spark, sf_dir):
@@ -95,8 +112,8 @@ def event_time_sort(spark, sf_dir):
 
 
 def event_time_sort_stream(spark, sf_dir):
-    events = _car_stream(spark, sf_dir)
-    return run_appending(streaming.event_time_sort_stream(events, ["car_id"]))
+    events, end = _ended(spark, views.car_events(spark, sf_dir, stream=True))
+    return run_appending(streaming.event_time_sort_stream(events, ["car_id"]), end, processors=False)
 
 
 def late_rows(spark, sf_dir):
@@ -114,11 +131,13 @@ def event_time_join(spark, sf_dir):
 
 
 def event_time_join_stream(spark, sf_dir):
+    end = EndMarker.of(spark, f"{scratch_dir(spark)}/end")
     trades, customers = (
-        streaming.with_event_watermark(view(spark, sf_dir, stream=True), lag_ms=LAG_MS)
+        streaming.with_end(view(spark, sf_dir, stream=True), end, LAG)
         for view in (views.trades, views.customers)
     )
-    return _enriched(run_appending(streaming.event_time_join_stream(trades, customers)))
+    joined = streaming.event_time_join_stream(trades, customers, stretch=STRETCH)
+    return _enriched(run_appending(joined, end))
 
 
 def travel_features_query(spark, sf_dir):
@@ -142,6 +161,29 @@ def predict_travel_time_stream(spark, sf_dir):
     return run_appending(streaming.predict_travel_time_stream(rides, grid=views.COARSE_GRID))
 
 
+def predict_travel_time_pieces_stream(spark, sf_dir):
+    rides, end = _ended(spark, _timed(views.rides(spark, sf_dir, stream=True)))
+    predicted = streaming.predict_travel_time_stream(rides, grid=views.COARSE_GRID, piece=PIECE)
+    return run_appending(predicted, end, chained=True)
+
+
+def predict_travel_time_handover(spark, sf_dir):
+    """The rides up to the middle of the time as a table, the later ones as a stream behind it."""
+    rides = _timed(views.rides(spark, sf_dir))
+    first, last = (F.unix_micros(f("ts")) for f in (F.min, F.max))
+    middle = rides.agg(F.timestamp_micros((first + last).cast("decimal(38,0)").cast("long") / 2)).first()[0]
+    early = rides.where(F.col("ts") <= F.lit(middle))
+    stream = _timed(views.rides(spark, sf_dir, stream=True)).where(F.col("ts") > F.lit(middle))
+    models = operators.travel_models(early, grid=views.COARSE_GRID)
+    later = run_appending(streaming.predict_travel_time_stream(stream, grid=views.COARSE_GRID, models=models))
+    return operators.predict_travel_time(early, grid=views.COARSE_GRID).unionByName(later)
+
+
+def word_running_count_stream(spark, sf_dir):
+    lines = views.lines(spark, sf_dir, stream=True)
+    return run_appending(streaming.word_running_count_stream(lines, "doc_id", lines_per_piece=500), chained=True)
+
+
 def ride_records(spark, sf_dir):
     return sources.rides_to_records(operators.rides_in_bbox(views.rides(spark, sf_dir)))
 
@@ -187,10 +229,14 @@ def _ride_files(spark, sf_dir) -> str:
     return path
 
 
-def _car_stream(spark, sf_dir) -> DataFrame:
-    return streaming.with_event_watermark(
-        views.car_events(spark, sf_dir, stream=True), lag_ms=LAG_MS
-    )
+def _timed(rides: DataFrame) -> DataFrame:
+    return rides.withColumn("ts", ride_event_time())
+
+
+def _ended(spark, events: DataFrame) -> tuple[DataFrame, EndMarker]:
+    """A stream with a watermark and the marker that ends it."""
+    end = EndMarker.of(spark, f"{scratch_dir(spark)}/end")
+    return streaming.with_end(events, end, LAG), end
 
 
 def _rounded(segments: DataFrame) -> DataFrame:
@@ -225,25 +271,30 @@ CATALOG: dict[str, tuple[Query, str]] = {
     "word_count": (word_count, oracle.word_count()),
     "word_count_stream": (word_count_stream, oracle.word_count()),
     "word_running_count": (word_running_count, oracle.word_running_count()),
+    "word_running_count_stream": (word_running_count_stream, oracle.word_running_count()),
     "rides_in_bbox": (rides_in_bbox, oracle.rides_in_bbox()),
     "rides_in_bbox_stream": (rides_in_bbox_stream, oracle.rides_in_bbox()),
     "grid_cells": (grid_cells, oracle.grid_cells()),
     "popular_places": (popular_places, oracle.popular_places()),
-    "popular_places_stream": (popular_places_stream, oracle.popular_places(closed=True)),
+    "popular_places_stream": (popular_places_stream, oracle.popular_places()),
+    "popular_places_panes_stream": (popular_places_panes_stream, oracle.popular_places()),
     "place_documents": (place_documents, oracle.place_documents()),
     "gap_segments": (gap_segments, oracle.gap_segments()),
-    "gap_segments_stream": (gap_segments_stream, oracle.gap_segments(closed=True)),
+    "gap_segments_stream": (gap_segments_stream, oracle.gap_segments()),
     "stop_segments_by_car": (stop_segments_by_car, oracle.stop_segments(keyed=True)),
     "stop_segments_global": (stop_segments_global, oracle.stop_segments(keyed=False)),
-    "stop_segments_stream": (stop_segments_stream, oracle.stop_segments(keyed=True, closed=True)),
+    "stop_segments_stream": (stop_segments_stream, oracle.stop_segments(keyed=True)),
+    "stop_segments_global_stream": (stop_segments_global_stream, oracle.stop_segments(keyed=False)),
     "event_time_sort": (event_time_sort, oracle.event_time_sort()),
-    "event_time_sort_stream": (event_time_sort_stream, oracle.event_time_sort_stream()),
+    "event_time_sort_stream": (event_time_sort_stream, oracle.car_events()),
     "late_rows": (late_rows, oracle.late_rows()),
     "event_time_join": (event_time_join, oracle.event_time_join()),
-    "event_time_join_stream": (event_time_join_stream, oracle.event_time_join(closed=True)),
+    "event_time_join_stream": (event_time_join_stream, oracle.event_time_join()),
     "travel_features": (travel_features_query, oracle.travel_features()),
     "predict_travel_time": (predict_travel_time, oracle.predict_travel_time()),
     "predict_travel_time_stream": (predict_travel_time_stream, oracle.predict_travel_time()),
+    "predict_travel_time_pieces_stream": (predict_travel_time_pieces_stream, oracle.predict_travel_time()),
+    "predict_travel_time_handover": (predict_travel_time_handover, oracle.predict_travel_time()),
     "ride_records": (ride_records, oracle.ride_records()),
     "ride_records_round_trip": (ride_records_round_trip, oracle.rides_in_bbox()),
     "read_car_events": (read_car_events, oracle.car_events_file()),

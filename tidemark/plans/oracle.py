@@ -38,11 +38,6 @@ def _center(cell: str) -> tuple[str, str]:
     )
 
 
-def _watermark(rows: str) -> str:
-    """Where the watermark of a stream of ``rows`` ends up; it counts whole milliseconds."""
-    return f"(select date_trunc('millisecond', max(ts)) - interval 5 seconds from {rows})"
-
-
 _SEGMENT = """min(ts) as start_ts, max(ts) as end_ts, count(*) as n_events,
        epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 as length_ms,
        max(speed) as max_speed, round(avg(speed), 6) as avg_speed"""
@@ -75,14 +70,11 @@ def grid_cells() -> str:
         select ride_id, ts, cell, {lon} as lon, {lat} as lat from cells"""
 
 
-def _places(closed: bool) -> str:
+def _places() -> str:
     lon, lat = _center("cell")
     start = _cell("start_lon", "start_lat")
     end = _cell("end_lon", "end_lat")
-    cut = f"and window_end <= {_watermark('timed')}" if closed else ""
-    return f"""{_RIDES}, {_INSIDE}, timed as (
-            select case when is_start then start_time else end_time end as ts from rides),
-        cells as (
+    return f"""{_RIDES}, {_INSIDE}, cells as (
             select case when is_start then start_time else end_time end as ts, is_start,
                    case when is_start then {start} else {end} end as cell
             from inside),
@@ -96,16 +88,16 @@ def _places(closed: bool) -> str:
             from panes, range(3) r(i) group by all),
         places as (
             select cell, {lon} as lon, {lat} as lat, epoch_ms(window_end) as window_end, is_start, cnt
-            from counts where cnt > {views.COARSE_THRESHOLD} {cut})"""
+            from counts where cnt > {views.COARSE_THRESHOLD})"""
 
 
-def popular_places(closed: bool = False) -> str:
-    return f"""with {_places(closed)}
+def popular_places() -> str:
+    return f"""with {_places()}
         select lon, lat, window_end, is_start, cnt from places"""
 
 
 def place_documents() -> str:
-    return f"""with {_places(closed=False)}
+    return f"""with {_places()}
         select concat_ws('-', cast(lon as varchar), cast(lat as varchar),
                          cast(is_start as varchar), cast(window_end as varchar)) as id,
                '{{"time":"' || window_end || '","location":"' || cast(lat as varchar) || ','
@@ -114,9 +106,7 @@ def place_documents() -> str:
         from places"""
 
 
-def gap_segments(closed: bool = False) -> str:
-    # A stream reports a session once the watermark has passed its end.
-    cut = f"where end_ts + interval 6 hours <= {_watermark('car')}" if closed else ""
+def gap_segments() -> str:
     return f"""with {_CAR},
         flagged as (
             select *, case when ts - lag(ts) over w <= interval 6 hours then 0 else 1 end as opens
@@ -124,19 +114,18 @@ def gap_segments(closed: bool = False) -> str:
         numbered as (
             select *, sum(opens) over (partition by car_id order by ts) as n from flagged),
         sessions as (select car_id, {_SEGMENT} from numbered group by car_id, n)
-        select * from sessions {cut}"""
+        select * from sessions"""
 
 
-def stop_segments(keyed: bool, closed: bool = False) -> str:
+def stop_segments(keyed: bool) -> str:
     key = "car_id, " if keyed else ""
     part = "partition by car_id" if keyed else ""
-    cut = f"where ts <= {_watermark('car')}" if closed else ""
     return f"""with {_CAR},
         numbered as (
             select *, coalesce(sum(case when speed = 0 then 1 else 0 end) over (
                 {part} order by ts, event_id
                 rows between unbounded preceding and 1 preceding), 0) as n
-            from car {cut})
+            from car)
         select {key}{_SEGMENT} from numbered group by {key}n
         having bool_or(speed = 0) and epoch_us(max(ts)) // 1000 > epoch_us(min(ts)) // 1000"""
 
@@ -146,9 +135,8 @@ def event_time_sort() -> str:
         select *, row_number() over (partition by car_id order by ts, event_id) as seq from car"""
 
 
-def event_time_sort_stream() -> str:
-    return f"""with {_CAR}
-        select * from car where ts <= {_watermark('car')}"""
+def car_events() -> str:
+    return f"with {_CAR} select * from car"
 
 
 def late_rows() -> str:
@@ -162,14 +150,12 @@ def late_rows() -> str:
         select event_id, car_id, ts, arrival, watermark from marked where ts <= watermark"""
 
 
-def event_time_join(closed: bool = False) -> str:
-    both = f"least({_watermark('trades')}, {_watermark('customers')})"
-    cut = f"where t.ts <= {both}" if closed else ""
+def event_time_join() -> str:
     return f"""with trades as ({views.trades_sql()}), customers as ({views.customers_sql()})
         select t.trade_id, t.customer_id, t.ts, t.amount,
                c.ts as known_since, c.value as customer_value
         from trades t asof left join customers c
-          on t.customer_id = c.customer_id and t.ts >= c.ts {cut}"""
+          on t.customer_id = c.customer_id and t.ts >= c.ts"""
 
 
 def _features() -> str:

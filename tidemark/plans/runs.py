@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 
 from tidemark.shared import scratch_dir
+from tidemark.streaming.end import EndMarker
+from tidemark.streaming.state import keyed_processors
 from tidemark.streaming.watermark import strict_lateness
 
 
-def run_appending(stream: DataFrame) -> DataFrame:
-    """All rows the stream appends until its input is used up."""
+def run_appending(
+    stream: DataFrame, end: EndMarker | None = None, processors: bool = True, chained: bool = False
+) -> DataFrame:
+    """All rows the stream appends until its input is used up.
+
+    With ``end``, the marker that the stream was made with, also what it gives when time has
+    moved past all input. Streams without stateful processors may do without their store;
+    ``chained`` is for several stateful steps.
+    """
     spark, scratch = stream.sparkSession, scratch_dir(stream.sparkSession)
-    with strict_lateness(spark):
-        query = (
-            stream.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", f"{scratch}/checkpoint")
-            .trigger(availableNow=True)
-            .start(f"{scratch}/rows")
-        )
-    query.awaitTermination()
+    writer = (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{scratch}/checkpoint")
+    )
+    if end is None:
+        writer = writer.trigger(availableNow=True)
+    with nullcontext() if chained else strict_lateness(spark):
+        with keyed_processors(spark) if processors else nullcontext():
+            query = writer.start(f"{scratch}/rows")
+    try:
+        if end is not None:
+            query.processAllAvailable()
+            end.write(spark)
+            query.processAllAvailable()
+            query.stop()
+        query.awaitTermination()
+    finally:
+        query.stop()
     return spark.read.schema(stream.schema).parquet(f"{scratch}/rows")
 
 

@@ -6,19 +6,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
-from tidemark.streaming.state import gather, wake_when_due
+from tidemark.streaming.state import Held, gather, stretch_us
 
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "ignoreNullFields": "false",
 }
-_STATE = (
-    "known_us array<bigint>, known_tie array<bigint>, known array<string>,"
-    " open_us array<bigint>, open_doc array<string>"
-)
+_KNOWN = "us bigint, tie bigint, doc string"
 
 
 def event_time_join_stream(
@@ -28,15 +25,17 @@ def event_time_join_stream(
     ts: str = "ts",
     early: bool = False,
     salts: int = 1,
+    stretch: str = "1 minute",
 ) -> DataFrame:
     """Every trade with ``customer``, the newest customer record not after it.
 
     Both streams need a watermark on ``ts``. A trade is held until the smaller of
     the two has passed it and given once, with ``final`` true. With ``early`` it is
     also given on arrival, with what is known then and ``final`` false. Trades at
-    or below the watermark are dropped. A late customer record still serves the
-    trades that are held. State keeps the newest record up to the watermark and
-    all newer ones. Write the result in append mode.
+    or below the watermark are dropped, and so are such customer records. State keeps
+    the newest record up to the watermark and, in chunks of one ``stretch`` of time,
+    all newer records and trades. Write the result in append mode, started inside
+    `keyed_processors`.
 
     With ``salts`` above 1 the trades of each key are spread over that many tasks
     and its customer records are copied to all of them, for keys with many trades.
@@ -50,18 +49,17 @@ def event_time_join_stream(
     records = records.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    columns = [key, ts, "__salt", "__side", "__us", "__tie", "__doc"]
+    columns = [key, ts, "__salt", "event_side", "event_us", "event_tie", "event_doc"]
     joined = (
         records.select(*columns)
         .unionByName(requests.select(*columns))
         .groupBy(key, "__salt")
-        .applyInPandasWithState(
-            _advance(key, early),
-            f"{key} {trades.schema[key].dataType.simpleString()},"
+        .transformWithStateInPandas(
+            _AsOf(key, early, stretch_us(stretch)),
+            f"`{key}` {trades.schema[key].dataType.simpleString()},"
             " trade string, customer string, final boolean",
-            _STATE,
             "append",
-            GroupStateTimeout.EventTimeTimeout,
+            "EventTime",
         )
     )
     trade = F.from_json("trade", _schema(trades, trade_fields), _JSON)
@@ -77,10 +75,10 @@ def event_time_join_stream(
 def _tagged(rows: DataFrame, key: str, ts: str, fields: list[str], side: int) -> DataFrame:
     return rows.where(F.col(ts).isNotNull()).withColumns(
         {
-            "__side": F.lit(side),
-            "__us": F.unix_micros(ts),
-            "__tie": F.xxhash64(*fields),
-            "__doc": F.to_json(F.struct(*fields), _JSON),
+            "event_side": F.lit(side),
+            "event_us": F.unix_micros(ts),
+            "event_tie": F.xxhash64(*fields),
+            "event_doc": F.to_json(F.struct(*fields), _JSON),
         }
     )
 
@@ -89,40 +87,50 @@ def _schema(rows: DataFrame, fields: list[str]) -> str:
     return ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in fields)
 
 
-def _advance(key_name: str, early: bool):
-    def advance(key, batches, state):
-        watermark_us = state.getCurrentWatermarkMs() * 1000
-        *records, open_us, open_doc = state.get if state.exists else ([], [], [], [], [])
-        side, us, tie, doc = gather(batches, "__side", "__us", "__tie", "__doc")
-        record, fresh = side == 0, (side == 1) & (us > watermark_us)
-        at, at_tie, known = (
-            np.concatenate([np.array(old, dtype=kind), new[record].astype(kind)])
-            for old, new, kind in zip(records, (us, tie, doc), ("int64", "int64", object))
-        )
-        order = np.lexsort((at_tie, at))
-        at, at_tie, known = at[order], at_tie[order], known[order]
-        held_us = np.concatenate([np.array(open_us, dtype="int64"), us[fresh].astype("int64")])
-        held_doc = np.concatenate([np.array(open_doc, dtype=object), doc[fresh]])
-
-        def matched(trade_us, trades, final: bool) -> pd.DataFrame:
-            found = np.searchsorted(at, trade_us, side="right") - 1
-            customer = [known[i] if i >= 0 else None for i in found]
-            columns = {key_name: key[0], "trade": trades, "customer": customer, "final": final}
-            return pd.DataFrame(columns, index=range(len(trades)))
-
-        due = held_us <= watermark_us
-        if early and fresh.any():
-            yield matched(us[fresh].astype("int64"), doc[fresh], final=False)
-        if due.any():
-            yield matched(held_us[due], held_doc[due], final=True)
-        held_us, held_doc = held_us[~due], held_doc[~due]
+class _AsOf(StatefulProcessor):
+    def __init__(self, key_name: str, early: bool, stretch: int):
+        self.key_name, self.early, self.stretch = key_name, early, stretch
+
+    def init(self, handle) -> None:
+        self.held = Held(handle, self.stretch, {"us": "int64", "side": "int8", "tie": "int64", "doc": "object"})
         # The newest record up to the watermark still serves trades after it.
-        needed = max(int(np.searchsorted(at, watermark_us, side="right")) - 1, 0)
-        if needed < len(at) or len(held_us):
-            kept = [column[needed:].tolist() for column in (at, at_tie, known)]
-            state.update((*kept, held_us.tolist(), held_doc.tolist()))
-            wake_when_due(state, int(held_us.min()) if len(held_us) else None)
-        elif state.exists:
-            state.remove()
-
-    return advance
+        self.known = handle.getValueState("known", _KNOWN)
+
+    def handleInputRows(self, key, rows, timerValues):
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        us, side, tie, doc = gather(rows, "event_us", "event_side", "event_tie", "event_doc")
+        fresh = us > watermark
+        us, side, tie, doc = us[fresh].astype("int64"), side[fresh], tie[fresh], doc[fresh]
+        self.held.add(us, [side, tie, doc], timerValues.getCurrentProcessingTimeInMs(), watermark)
+        asked = side == 1
+        if self.early and asked.any():
+            records = self._records(*self.held.look(int(us[asked].max())))
+            yield self._matched(key, records, us[asked], doc[asked], final=False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        us, side, tie, doc = self.held.take(timerValues.getCurrentWatermarkInMs() * 1000)
+        at, ties, known = self._records(us, side, tie, doc)
+        if (side == 0).any():
+            self.known.update((int(at[-1]), int(ties[-1]), known[-1]))
+        due = side == 1
+        if due.any():
+            yield self._matched(key, (at, ties, known), us[due], doc[due], final=True)
+
+    def _records(self, us, side, tie, doc):
+        """The known record and those among the rows, in order."""
+        found = [us[side == 0], tie[side == 0], doc[side == 0]]
+        if self.known.exists():
+            before = self.known.get()
+            found = [np.append(column, np.array([v], column.dtype)) for column, v in zip(found, before)]
+        order = np.lexsort((found[1], found[0]))
+        return [column[order] for column in found]
+
+    def _matched(self, key, records, trade_us, trades, final: bool) -> pd.DataFrame:
+        at, _, known = records
+        found = np.searchsorted(at, trade_us, side="right") - 1
+        customer = [known[i] if i >= 0 else None for i in found]
+        columns = {self.key_name: key[0], "trade": trades, "customer": customer, "final": final}
+        return pd.DataFrame(columns, index=range(len(trades)))
+
+    def close(self) -> None:
+        pass
