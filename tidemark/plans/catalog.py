@@ -24,7 +24,7 @@ PLACES = {
 CAR_GAP = "6 hours"
 LAG = "5 seconds"
 # The events of a car are hours apart.
-STRETCH, PIECE = "7 days", "1 day"
+STRETCH, PIECE = "7 days", "7 days"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,8 +170,8 @@ def predict_travel_time_pieces_stream(spark, sf_dir):
 def predict_travel_time_handover(spark, sf_dir):
     """The rides up to the middle of the time as a table, the later ones as a stream behind it."""
     rides = _timed(views.rides(spark, sf_dir))
-    first, last = (F.unix_micros(f("ts")) for f in (F.min, F.max))
-    middle = rides.agg(F.timestamp_micros((first + last).cast("decimal(38,0)").cast("long") / 2)).first()[0]
+    halves = F.expr("timestamp_micros((unix_micros(min(ts)) + unix_micros(max(ts))) div 2)")
+    middle = rides.agg(halves).first()[0]
     early = rides.where(F.col("ts") <= F.lit(middle))
     stream = _timed(views.rides(spark, sf_dir, stream=True)).where(F.col("ts") > F.lit(middle))
     models = operators.travel_models(early, grid=views.COARSE_GRID)
@@ -181,7 +181,7 @@ def predict_travel_time_handover(spark, sf_dir):
 
 def word_running_count_stream(spark, sf_dir):
     lines = views.lines(spark, sf_dir, stream=True)
-    return run_appending(streaming.word_running_count_stream(lines, "doc_id", lines_per_piece=500), chained=True)
+    return run_appending(streaming.word_running_count_stream(lines, "doc_id", lines_per_piece=500, buckets=16), chained=True)
 
 
 def ride_records(spark, sf_dir):

@@ -36,6 +36,8 @@ def run_appending(
         if end is not None:
             query.processAllAvailable()
             end.write(spark)
+            # A look for new files that began before the marker was there may end the first wait.
+            query.processAllAvailable()
             query.processAllAvailable()
             query.stop()
         query.awaitTermination()

@@ -2,65 +2,105 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.operators.words import tokens
-from tidemark.streaming.pieces import LANES, Apply, Carry, Fold
+from tidemark.streaming.pieces import Apply, Fold
 
 LINES_PER_PIECE = 10_000
+BUCKETS = 64
+CHUNKS = 128
 
 
 def word_running_count_stream(
-    lines: DataFrame, line: str, text_col: str = "text", lines_per_piece: int = LINES_PER_PIECE
+    lines: DataFrame,
+    line: str,
+    text_col: str = "text",
+    lines_per_piece: int = LINES_PER_PIECE,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """A row per word of the stream: ``line``, ``pos``, ``word`` and ``cnt``, the word's count so far.
 
     Words are taken in the order of the micro-batches, in each by ``line``, a whole number, and
     position. Where batches hold consecutive lines this is `word_running_count`. Write it in
-    append mode, started inside `keyed_processors` and outside `strict_lateness`.
+    append mode, started inside `keyed_processors` and outside `strict_lateness`. Words without
+    line are left out. The number of ``buckets`` must stay the same when a stream is restarted.
 
-    A word of a batch is counted in pieces of consecutive lines by as many tasks, one step carries
-    on how often it was met before each piece (a number per piece, and one per word as state), and
-    the counts of a piece are raised by that. Words without line are left out.
+    Words are dealt to buckets by hash, and those of a batch also into pieces of consecutive
+    lines, so that a frequent word is counted by many tasks. One step carries on how often a word
+    was met before each piece: a row per word and piece, and a count per word as state, of which
+    a batch touches those near its own words. The counts of a piece are raised by that.
     """
     words = tokens(lines.where(F.col(line).isNotNull()), [line], text_col)
-    number = F.col(line).cast("long").alias("line")
-    rows = words.select("word", number, "pos", F.expr(f"(`{line}` - pmod(`{line}`, {lines_per_piece}L)) div {lines_per_piece}L").alias("piece"))
-    names, schema = ["word", "piece"], "word string, piece bigint, lane int, summary boolean, line bigint, pos int, cnt bigint"
-    counted = rows.groupBy(*names).transformWithStateInPandas(
-        Fold(names, ["line", "pos"], _counted, None), schema, "append", "None"
+    rows = words.select(
+        F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket"),
+        F.expr(f"(`{line}` - pmod(`{line}`, {lines_per_piece}L)) div {lines_per_piece}L").alias("piece"),
+        "word",
+        F.col(line).cast("long").alias("line"),
+        "pos",
     )
-    carried = counted.groupBy("word", "lane").transformWithStateInPandas(
-        Carry(["word", "lane"], ["piece"], "cnt bigint", _carried), schema, "append", "None"
+    schema = "bucket bigint, piece bigint, lane int, word string, line bigint, pos int, cnt bigint"
+    counted = rows.groupBy("bucket", "piece").transformWithStateInPandas(
+        Fold(["bucket", "piece"], ["word", "line", "pos"], _counted, None), schema, "append", "None"
     )
-    raised = carried.groupBy(*names).transformWithStateInPandas(Apply(_raised), schema, "append", "None")
+    carried = counted.groupBy("bucket", "lane").transformWithStateInPandas(_Counts(), schema, "append", "None")
+    raised = carried.groupBy("bucket", "piece").transformWithStateInPandas(Apply(_raised), schema, "append", "None")
     return raised.select(F.col("line").cast(lines.schema[line].dataType).alias(line), "pos", "word", "cnt")
 
 
-def _counted(piece: int, line: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
-    order = np.lexsort((pos, line))
-    n = len(order)
-    return pd.DataFrame(
-        {
-            "line": np.append(line[order], 0),
-            "pos": np.append(pos[order], 0),
-            "cnt": np.append(np.arange(1, n + 1), n),
-            "lane": np.append(np.full(n, 1 + piece % LANES), 0),
-            "summary": np.append(np.zeros(n, bool), True),
-        }
-    )
+def _counted(piece: int, word: np.ndarray, line: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
+    """The words of a piece with their counts in it, in lane 1 + n; how many of each, in lane 0."""
+    rows = pd.DataFrame({"word": word, "line": line, "pos": pos}).sort_values(["line", "pos"], ignore_index=True)
+    rows["cnt"] = rows.groupby("word").cumcount() + 1
+    rows["lane"] = 1 + piece % BUCKETS
+    totals = rows.groupby("word", as_index=False)["cnt"].max().assign(line=0, pos=0, lane=0)
+    return pd.concat([rows, totals], ignore_index=True)
+
+
+class _Counts(StatefulProcessor):
+    """Replaces what a piece has of a word by what came before it.
+
+    The counts of a bucket are kept in chunks of words, again by hash: reading and writing one
+    costs about the same for a few words as for a single one.
+    """
+
+    def init(self, handle) -> None:
+        self.counts = handle.getMapState("counts", "chunk int", "words array<string>, counts array<bigint>")
 
+    def handleInputRows(self, key, rows, timerValues):
+        if key[-1] != 0:
+            yield from rows
+            return
+        found = pd.concat(list(rows)).sort_values(["word", "piece"], ignore_index=True)
+        ends = found.groupby("word")["cnt"].cumsum()
+        last = ~found["word"].duplicated(keep="last")
+        new = dict(zip(found["word"][last], ends[last].astype(int)))
+        known = {}
+        by_chunk: dict[int, list[str]] = {}
+        for word in new:
+            by_chunk.setdefault(zlib.crc32(word.encode()) % CHUNKS, []).append(word)
+        for chunk, words in by_chunk.items():
+            before = self.counts.getValue((chunk,))
+            held = dict(zip(*before)) if before else {}
+            for word in words:
+                known[word] = held.get(word, 0)
+                held[word] = known[word] + int(new[word])
+            self.counts.updateValue((chunk,), (list(held), list(held.values())))
+        before = found["word"].map(known)
+        yield found.assign(cnt=before + ends - found["cnt"])
 
-def _carried(state: tuple | None, summaries: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
-    before = int(state[0]) if state else 0
-    ends = before + summaries["cnt"].cumsum()
-    return (int(ends.iloc[-1]),), summaries.assign(cnt=ends - summaries["cnt"])
+    def close(self) -> None:
+        pass
 
 
 def _raised(rows: pd.DataFrame) -> pd.DataFrame:
-    is_summary = rows["summary"].astype(bool)
-    words = rows[~is_summary]
-    return words.assign(cnt=words["cnt"] + rows[is_summary]["cnt"].iloc[0])
+    totals = rows["lane"] == 0
+    before = rows[totals].set_index("word")["cnt"]
+    words = rows[~totals]
+    return words.assign(cnt=words["cnt"] + words["word"].map(before))
