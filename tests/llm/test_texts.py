@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -13,6 +14,7 @@ from cases import documents, odd_rows
 from pyspark.sql import functions as F
 
 from tidemark.llm import idcoder, phrases, pieces, tokencache
+from tidemark.llm.common import slices
 
 ODD = [
     "", " ", "  a  b ", "a\n b", "x <|endoftext|> y", "<|ENDOFTEXT|>", "a<|startoftext|>b", "it's 12 34  b\t",
@@ -42,7 +44,7 @@ def test_pieces_equal_the_library_and_decode(spark):
 
 def test_pieces_spell_broken_bytes_like_the_library():
     path = public_tokenizers.path("piece_bpe_32k.model")
-    library, lattice = sentencepiece.SentencePieceProcessor(model_file=path), pieces._lattice(path)
+    library, lattice = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Lattice(path)
     rng = random.Random(5)
     for _ in range(300):
         ids = [rng.randrange(300) for _ in range(10)]
@@ -171,4 +173,55 @@ def test_token_counts_and_their_cache(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(cache).count() == n + 1
     assert tokencache.token_counts(frame.limit(0), path, cache).count() == 0
     odd = documents(spark, odd_rows())
-    assert tokencache.token_counts(odd, path, cache).count() == len(odd_rows())
+    assert counted(odd) == expected(odd_rows())
+    stored = spark.read.parquet(cache)
+    assert stored.count() == stored.select("content").distinct().count() > n + 1
+    # A second time nothing is missed, and no file is added.
+    files = len(stored.inputFiles())
+    assert counted(odd) == expected(odd_rows()) and len(spark.read.parquet(cache).inputFiles()) == files
+
+
+def test_repeated_rows_are_encoded_once(spark, tmp_path):
+    rows = [(1, "the same text in every row")] * 3 + [(2, "the same text in every row")]
+    cache = f"{tmp_path}/cache"
+    assert tokencache.token_counts(documents(spark, rows), public_tokenizers.path("word_bpe_49k.json"), cache).count() == 4
+    assert spark.read.parquet(cache).count() == 1
+
+
+def test_pieces_of_odd_rows_and_long_texts(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    long = " ".join(f"word{i} {i * 7919}" for i in range(200_000))
+    rows = [*odd_rows(), (99, long), (100, "x" * 3_000)]
+    frame = documents(spark, rows, "ids")
+    encoded = pieces.encoded(frame, path)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r.doc_id, r.ids) for r in encoded.collect()), key=key)
+    assert got == sorted(((i, library.encode(t or "")) for i, t in rows), key=key)
+    named = encoded.selectExpr("doc_id", "n_pieces", "ids", "'t' as text", "1 as piece")
+    spelled = {r.doc_id: r for r in pieces.decoded(named, path).collect()}
+    assert spelled[99].text == long and spelled[99].piece == 1 and spelled[3].text == ""
+
+
+def test_what_a_worker_keeps_outlives_a_task(spark):
+    from tidemark.llm.common import of_worker
+
+    def met(batches):
+        kept = of_worker("a test")
+        for batch in batches:
+            kept["tasks"] = kept.get("tasks", 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([kept["tasks"]])], ["n"])
+
+    counts = [spark.range(1).coalesce(1).mapInArrow(met, "n long").collect()[0]["n"] for _ in range(12)]
+    # Workers are reused, though not always the same one.
+    assert max(counts) > 1
+
+
+@pytest.mark.parametrize("most", [1, 5, 10_000])
+def test_slices_are_bounded_and_whole(most):
+    batch = pa.RecordBatch.from_arrays([pa.array([b"ab", None, b"", b"abcdefg", b"a", b"b"])], ["text"])
+    parts = list(slices(batch, "text", most))
+    assert sum((p.column("text").to_pylist() for p in parts), []) == batch.column("text").to_pylist()
+    for p in parts:
+        sizes = [len(v or b"") for v in p.column("text").to_pylist()]
+        assert sum(sizes) <= most or len([s for s in sizes if s]) == 1

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +64,33 @@ def map_batches(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dic
     return df.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows whose binary or list ``column`` holds at most ``most`` bytes or entries,
+    or one row that holds more."""
+    values = batch.column(column)
+    sizes = values.value_lengths() if pa.types.is_list(values.type) else pc.binary_length(values)
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+_HOLDER = "tidemark_of_worker"
+
+
+def of_worker(name: str) -> dict:
+    """A dictionary that lasts as long as the Python worker does.
+
+    Functions travel by value, so the variables of their modules are made anew for every task;
+    what takes long to make is kept in a module that is found by its name instead.
+    """
+    holder = sys.modules.setdefault(_HOLDER, types.ModuleType(_HOLDER))
+    return vars(holder).setdefault(name, {})
+
+
 def _fields(schema: str) -> list[str]:
     depth, fields = 0, [""]
     for c in schema:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_words, map_batches, mixed, stored, texts
+from tidemark.llm.common import hash_words, map_batches, mixed, of_worker, stored, texts
 
 EDITS = 0.2
 SHORTEST_ITEM = 8
@@ -106,9 +106,6 @@ def walks_of(c: int) -> int:
     return max(LEAST_WALKS, math.ceil(WALKS_PER_WORD * class_lengths(c)[1]))
 
 
-_WALKS: dict[int, list] = {}
-
-
 def lsh_keys(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, c: int) -> np.ndarray:
     """Keys (windows x tables) of the windows ``starts`` to ``ends`` for items of class ``c``."""
     keys = np.zeros((walks_of(c) * TABLES_PER_WALK, len(starts)), np.uint64)
@@ -128,8 +125,9 @@ def _walks(c: int) -> list[tuple[np.ndarray, list[list[int]]]]:
 
     A walk takes about two steps a word, so the sampled steps reach over the shortest item.
     """
-    if c in _WALKS:
-        return _WALKS[c]
+    made = of_worker("walks")
+    if c in made:
+        return made[c]
     steps, rng, walks = 2 * class_lengths(c)[0], np.random.default_rng(1000 + c), []
     for walk in range(walks_of(c)):
         sampled: list[list[int]] = [[] for _ in range(steps)]
@@ -138,7 +136,7 @@ def _walks(c: int) -> list[tuple[np.ndarray, list[list[int]]]]:
                 sampled[step].append(walk * TABLES_PER_WALK + table)
         bits = rng.integers(1, 2**63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         walks.append((bits, sampled))
-    _WALKS[c] = walks
+    made[c] = walks
     return walks
 
 

@@ -8,10 +8,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, texts
+from tidemark.llm.common import of_worker, slices, texts
 
 _SPACE = "▁"
-_REMEMBERED = 400_000
+_REMEMBERED = 300_000
+# So much of a batch is worked on at once: bytes of text, ids.
+_BYTES_AT_ONCE, _IDS_AT_ONCE = 2_000_000, 400_000
 _WORDS_AT_ONCE = 40_000
 _SLOTS = 1 << 20
 
@@ -32,20 +34,20 @@ def encoded(documents: DataFrame, model_path: str) -> DataFrame:
     Null and empty texts have no ids. No documents give no rows; ids may be null or repeat.
     """
 
-    def rows(batch: pa.RecordBatch) -> dict:
-        lattice = _lattice(model_path)
-        found = lattice.encode([t.decode() for t in batch.column("text").to_pylist()])
-        sizes = np.array([len(f) for f in found])
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        values = np.concatenate(found) if found else np.zeros(0, np.int32)
-        return {
-            "doc_id": batch.column("doc_id"),
-            "n_pieces": pa.array(sizes, pa.int64()),
-            "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32())),
-        }
+    names = ["doc_id", "n_pieces", "ids"]
+
+    def run(batches):
+        lattice = _kept("lattice", model_path, Lattice)
+        for batch in batches:
+            for part in slices(batch, "text", _BYTES_AT_ONCE):
+                found = lattice.encode([t.decode() for t in part.column("text").to_pylist()])
+                sizes = np.array([len(f) for f in found])
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), ids], names)
 
     ids = documents.withColumn("doc_id", F.col("doc_id").cast("long"))
-    return map_batches(texts(ids, "doc_id"), "doc_id long, n_pieces long, ids array<int>", rows)
+    return texts(ids, "doc_id").mapInArrow(run, "doc_id long, n_pieces long, ids array<int>")
 
 
 def decoded(encoded_rows: DataFrame, model_path: str) -> DataFrame:
@@ -57,29 +59,60 @@ def decoded(encoded_rows: DataFrame, model_path: str) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded_rows.select(others).schema)
 
     def run(batches):
-        lattice = _lattice(model_path)
+        speller = _kept("speller", model_path, Speller)
         for batch in batches:
-            found = [lattice.decode(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string())], names=[*others, "text"]
-            )
+            for part in slices(batch, "ids", _IDS_AT_ONCE):
+                found = [speller.decode(ids or []) for ids in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found, pa.string())], names=[*others, "text"]
+                )
 
     return encoded_rows.select(others).mapInArrow(run, f"{fields}, text string")
 
 
-class Lattice:
-    """The pieces of a model, and the words encoded so far."""
+class Speller:
+    """What the pieces of a model spell."""
 
     def __init__(self, model_path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        self.model, size = model, model.get_piece_size()
+        size = model.get_piece_size()
         self.unknown = model.unk_id()
         self.bytes = {int(model.id_to_piece(i)[3:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.silent = {i for i in range(size) if model.is_control(i)}
         special = self.silent | set(self.byte_of) | {self.unknown}
         self.piece = {i: model.id_to_piece(i) for i in range(size) if i not in special}
-        self.rank = {p: (-model.get_score(i), i) for i, p in self.piece.items()}
+        self.scores = {i: model.get_score(i) for i in self.piece}
+        self.plain = self.piece | dict.fromkeys(self.silent, "")
+
+    def decode(self, ids: list[int]) -> str:
+        found = list(map(self.plain.get, ids))
+        if None not in found:
+            text = "".join(found)
+            return text.replace(_SPACE, " ")[text.startswith(_SPACE) :]
+        out, held = [], bytearray()
+        for i in ids:
+            if i in self.byte_of:
+                held.append(self.byte_of[i])
+                continue
+            if held:
+                out.append(_utf8(bytes(held)))
+                held.clear()
+            if i == self.unknown:
+                out.append(" ⁇ ")
+            elif i not in self.silent:
+                out.append(self.piece[i])
+        if held:
+            out.append(_utf8(bytes(held)))
+        text = "".join(out)
+        return text.replace(_SPACE, " ")[text.startswith(_SPACE) :]
+
+class Lattice(Speller):
+    """The pieces of a model, and the words encoded so far."""
+
+    def __init__(self, model_path: str):
+        super().__init__(model_path)
+        self.rank = {p: (-self.scores[i], i) for i, p in self.piece.items()}
         if any(_SPACE in p.lstrip(_SPACE) for p in self.rank):
             raise ValueError("a piece reaches over the begin of a word")
         # Pieces that merging never leaves as they are can't stand in a result.
@@ -88,7 +121,6 @@ class Lattice:
         self.lengths = np.array([len(self.piece[i]) for i in self.whole])
         padded = "".join(self.piece[i].ljust(self.longest, "\0") for i in self.whole)
         self.letters = np.frombuffer(padded.encode("utf-32-le"), np.uint32).reshape(-1, self.longest)
-        self.plain = {i: p for i, p in self.piece.items()} | dict.fromkeys(self.silent, "")
         self.words: dict[str, bytes] = {}
         # Whether a piece may stand behind another: answers by a hash of the pair, the last one each.
         self.pairs, self.answers = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, bool)
@@ -216,28 +248,6 @@ class Lattice:
             i = best[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def decode(self, ids: list[int]) -> str:
-        found = list(map(self.plain.get, ids))
-        if None not in found:
-            text = "".join(found)
-            return text.replace(_SPACE, " ")[text.startswith(_SPACE) :]
-        out, held = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                held.append(self.byte_of[i])
-                continue
-            if held:
-                out.append(_utf8(bytes(held)))
-                held.clear()
-            if i == self.unknown:
-                out.append(" ⁇ ")
-            elif i not in self.silent:
-                out.append(self.piece[i])
-        if held:
-            out.append(_utf8(bytes(held)))
-        text = "".join(out)
-        return text.replace(_SPACE, " ")[text.startswith(_SPACE) :]
-
 
 def _utf8(data: bytes) -> str:
     out, i = [], 0
@@ -318,11 +328,9 @@ def _low(key: int, shift: int) -> int:
     return right if not shift else (key - right) >> 32
 
 
-# Of the worker process that this module's functions run in.
-_LATTICES: dict[str, Lattice] = {}
-
-
-def _lattice(path: str) -> Lattice:
-    if path not in _LATTICES:
-        _LATTICES[path] = Lattice(path)
-    return _LATTICES[path]
+def _kept(kind: str, path: str, make):
+    """What was made of a model, once per Python worker."""
+    made = of_worker(f"pieces {kind}")
+    if path not in made:
+        made[path] = make(path)
+    return made[path]

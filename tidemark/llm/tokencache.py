@@ -11,10 +11,11 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, stored
+from tidemark.llm.common import map_batches, of_worker, slices, stored
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 _REMEMBERED = 500_000
+_BYTES_AT_ONCE = 8_000_000
 
 
 def token_counts(documents: DataFrame, tokenizer_path: str, cache_path: str) -> DataFrame:
@@ -26,9 +27,10 @@ def token_counts(documents: DataFrame, tokenizer_path: str, cache_path: str) ->
 
     The cache is a Parquet folder of ``content, tokenizer, n_tokens``: a SHA-256 of the text in
     which runs of ASCII white space are one space, one of the tokenizer's file, and the count.
-    Texts that are in it are not encoded. Of the others each different one is encoded once, and
-    what that gives is appended before it is read. Several rows of one digest (two runs that
-    appended at once) agree; one is used.
+    Texts that are in it are not encoded. Of the others one row of each digest is encoded (of rows
+    that repeat, id and all, one a batch), and what that gives, if anything, is appended as one
+    row a digest before it is read. Several rows of one digest (two runs that appended at once)
+    agree; one is used.
 
     Null texts are empty: no bytes and no tokens. Ids may be null and may repeat. No documents
     give no rows and leave the cache as it is; other columns are ignored.
@@ -58,25 +60,31 @@ def token_counts(documents: DataFrame, tokenizer_path: str, cache_path: str) ->
     same = rows.doc_id.eqNullSafe(misses.miss_id) & (F.xxhash64(rows.text) == misses.miss_row)
     texts = rows.join(misses, same).select("content", F.col("text").cast("binary").alias("text"))
     counted = map_batches(texts, "content binary, n_tokens long", _counted(tokenizer_path))
-    counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(
-        cache_path
-    )
+    # Rows that repeat, id and all, may come to several tasks.
+    new = stored(counted.dropDuplicates(["content"]))
+    if not new.isEmpty():
+        new.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
     cached = _cache(spark, cache_path).where(F.col("tokenizer") == version)
     known = cached.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     return digested.join(known, "content").select("doc_id", "n_bytes", "n_tokens")
 
 
 def _cache(spark: SparkSession, path: str) -> DataFrame:
-    # Appending no rows makes the folder where there is none yet.
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], CACHE_SCHEMA)
     return spark.read.schema(CACHE_SCHEMA).parquet(path)
 
 
 def _counted(tokenizer_path: str):
     def rows(batch: pa.RecordBatch) -> dict:
-        tokenizer = _tokenizer(tokenizer_path)
-        counts = [count(text, tokenizer, _COUNTS) for text in batch.column("text").to_pylist()]
-        return {"content": batch.column("content"), "n_tokens": pa.array(counts, pa.int64())}
+        tokenizer, known = _loaded(tokenizer_path)
+        found: dict[bytes, int] = {}
+        for part in slices(batch, "text", _BYTES_AT_ONCE):
+            for content, text in zip(part.column("content").to_pylist(), part.column("text").to_pylist()):
+                if content not in found:
+                    found[content] = count(text, tokenizer, known)
+        return {"content": pa.array(found, pa.binary()), "n_tokens": pa.array(found.values(), pa.int64())}
 
     return rows
 
@@ -96,17 +104,14 @@ def count(text: bytes, tokenizer, known: dict[bytes, int]) -> int:
     return sum(map(known.__getitem__, words))
 
 
-# Of the worker process that this module's functions run in.
-_LOADED: dict[str, tokenizers.Tokenizer] = {}
-_COUNTS: dict[bytes, int] = {}
-
-
-def _tokenizer(path: str) -> tokenizers.Tokenizer:
+def _loaded(path: str) -> tuple[tokenizers.Tokenizer, dict[bytes, int]]:
+    """The tokenizer and the counts of words that this Python worker has met."""
+    made = of_worker("tokenizers")
     # Spark runs a task on each core already.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _LOADED:
-        _LOADED[path] = tokenizers.Tokenizer.from_file(path)
-        _LOADED[path].no_truncation()
-        _LOADED[path].no_padding()
-        _COUNTS.clear()
-    return _LOADED[path]
+    if path not in made:
+        tokenizer = tokenizers.Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        made[path] = tokenizer, {}
+    return made[path]
