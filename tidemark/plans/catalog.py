@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark import operators, sources, streaming
 from tidemark.functions.geo import grid_cell_center, ride_event_time, travel_features
 from tidemark.plans import oracle, views
-from tidemark.plans.runs import run_appending, run_updating
+from tidemark.plans.runs import run_appending, run_to_end, run_updating
 from tidemark.shared import scratch_dir
 from tidemark.streaming import EndMarker
 
@@ -130,6 +130,22 @@ def event_time_join(spark, sf_dir):
     return _enriched(joined)
 
 
+def event_time_join_small(spark, sf_dir):
+    joined = operators.event_time_join(
+        views.trades(spark, sf_dir), views.customers(spark, sf_dir), small_bytes=64_000_000
+    )
+    return _enriched(joined)
+
+
+def committed_places(spark, sf_dir):
+    """Popular places of a stream as documents, by way of the sink that commits batches."""
+    rides, end = _ended(spark, _timed(views.rides(spark, sf_dir, stream=True)))
+    documents = sources.place_documents(operators.popular_places(rides, **PLACES))
+    path, checkpoint = (f"{scratch_dir(spark)}/{name}" for name in ("documents", "checkpoint"))
+    run_to_end(lambda: sources.write_committed(documents, path, checkpoint), spark, end)
+    return sources.read_committed(spark, path)
+
+
 def event_time_join_stream(spark, sf_dir):
     end = EndMarker.of(spark, f"{scratch_dir(spark)}/end")
     trades, customers = (
@@ -279,6 +295,7 @@ CATALOG: dict[str, tuple[Query, str]] = {
     "popular_places_stream": (popular_places_stream, oracle.popular_places()),
     "popular_places_panes_stream": (popular_places_panes_stream, oracle.popular_places()),
     "place_documents": (place_documents, oracle.place_documents()),
+    "committed_places": (committed_places, oracle.place_documents()),
     "gap_segments": (gap_segments, oracle.gap_segments()),
     "gap_segments_stream": (gap_segments_stream, oracle.gap_segments()),
     "stop_segments_by_car": (stop_segments_by_car, oracle.stop_segments(keyed=True)),
@@ -289,6 +306,7 @@ CATALOG: dict[str, tuple[Query, str]] = {
     "event_time_sort_stream": (event_time_sort_stream, oracle.car_events()),
     "late_rows": (late_rows, oracle.late_rows()),
     "event_time_join": (event_time_join, oracle.event_time_join()),
+    "event_time_join_small": (event_time_join_small, oracle.event_time_join()),
     "event_time_join_stream": (event_time_join_stream, oracle.event_time_join()),
     "travel_features": (travel_features_query, oracle.travel_features()),
     "predict_travel_time": (predict_travel_time, oracle.predict_travel_time()),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import nullcontext
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.shared import scratch_dir
 from tidemark.streaming.end import EndMarker
@@ -31,7 +33,13 @@ def run_appending(
         writer = writer.trigger(availableNow=True)
     with nullcontext() if chained else strict_lateness(spark):
         with keyed_processors(spark) if processors else nullcontext():
-            query = writer.start(f"{scratch}/rows")
+            run_to_end(lambda: writer.start(f"{scratch}/rows"), spark, end)
+    return spark.read.schema(stream.schema).parquet(f"{scratch}/rows")
+
+
+def run_to_end(start: Callable[[], StreamingQuery], spark: SparkSession, end: EndMarker | None = None) -> None:
+    """Start a query and wait until it has used up its input, and the end marker behind it."""
+    query = start()
     try:
         if end is not None:
             query.processAllAvailable()
@@ -43,7 +51,6 @@ def run_appending(
         query.awaitTermination()
     finally:
         query.stop()
-    return spark.read.schema(stream.schema).parquet(f"{scratch}/rows")
 
 
 def run_updating(stream: DataFrame) -> DataFrame:

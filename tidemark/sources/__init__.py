@@ -1,3 +1,4 @@
+from tidemark.sources.committed import read_committed, write_committed
 from tidemark.sources.documents import (
     folder_writer,
     index_writer,
@@ -26,12 +27,14 @@ __all__ = [
     "index_writer",
     "place_documents",
     "read_car_events",
+    "read_committed",
     "read_ride_topic",
     "read_rides",
     "records_to_rides",
     "rejected",
     "rides_to_records",
     "usable",
+    "write_committed",
     "write_place_documents",
     "write_ride_topic",
 ]
