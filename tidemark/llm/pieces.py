@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -11,7 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import of_worker, slices, texts
 
 _SPACE = "▁"
-_REMEMBERED = 300_000
+_WORD = re.compile("▁*[^▁]+|▁+")
+_REMEMBERED = 700_000
 # So much of a batch is worked on at once: bytes of text, ids.
 _BYTES_AT_ONCE, _IDS_AT_ONCE = 2_000_000, 400_000
 _WORDS_AT_ONCE = 40_000
@@ -40,11 +44,9 @@ def encoded(documents: DataFrame, model_path: str) -> DataFrame:
         lattice = _kept("lattice", model_path, Lattice)
         for batch in batches:
             for part in slices(batch, "text", _BYTES_AT_ONCE):
-                found = lattice.encode([t.decode() for t in part.column("text").to_pylist()])
-                sizes = np.array([len(f) for f in found])
-                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), ids], names)
+                found, ends = lattice.encode([t.decode() for t in part.column("text").to_pylist()])
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(ends)), ids], names)
 
     ids = documents.withColumn("doc_id", F.col("doc_id").cast("long"))
     return texts(ids, "doc_id").mapInArrow(run, "doc_id long, n_pieces long, ids array<int>")
@@ -121,23 +123,35 @@ class Lattice(Speller):
         self.lengths = np.array([len(self.piece[i]) for i in self.whole])
         padded = "".join(self.piece[i].ljust(self.longest, "\0") for i in self.whole)
         self.letters = np.frombuffer(padded.encode("utf-32-le"), np.uint32).reshape(-1, self.longest)
-        self.words: dict[str, bytes] = {}
+        self._forget()
         # Whether a piece may stand behind another: answers by a hash of the pair, the last one each.
         self.pairs, self.answers = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, bool)
 
-    def encode(self, found: list[str]) -> list[np.ndarray]:
+    def _forget(self) -> None:
+        # A word's number tells where its ids stand among those of all words so far.
+        self.words: dict[str, int] = {}
+        self.known, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text begins and the last ends."""
         split = [_words(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in found]
         if len(self.words) > _REMEMBERED:
-            self.words.clear()
-        new = list({w for words in split for w in words if w not in self.words})
+            self._forget()
+        new = list(set().union(*split).difference(self.words))
         for i in range(0, len(new), _WORDS_AT_ONCE):
             some = new[i : i + _WORDS_AT_ONCE]
-            self.words.update(zip(some, self.encode_words(some)))
-        ids = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(ids, words)), np.int32) for words in split]
-
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as 32-bit integers."""
+            ids, sizes = self.encode_words(some)
+            self.words.update(zip(some, range(len(self.words), len(self.words) + len(some))))
+            self.known, self.sizes = np.concatenate([self.known, ids]), np.concatenate([self.sizes, sizes])
+        counts = np.array([len(words) for words in split], np.int64)
+        number = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, counts.sum())
+        sizes, first = self.sizes[number], (np.cumsum(self.sizes) - self.sizes)[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.known[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words, one after the other, and how many each has."""
         sizes = np.array([len(w) for w in words])
         text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum(sizes)
@@ -204,14 +218,14 @@ class Lattice(Speller):
             found = np.zeros(len(different), bool)
             for k, key in enumerate(different.tolist()):
                 x, y = (self._spelling(i) for i in (_low(key, 32), _low(key, 0)))
-                found[k] = self.merge(x + y) == [x, y]
+                found[k] = self.stay_apart(x, y)
             answer[new] = found[at]
             self.pairs[slots[new]], self.answers[slots[new]] = keys[new], answer[new]
         out[asked] = answer
         return out
 
-    def _trace(self, last, came, starts, ends) -> list[bytes]:
-        """The ids of each word, from its end back to its start and turned around."""
+    def _trace(self, last, came, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words and their numbers, from the end of each back to its start and turned around."""
         owners, pieces = [], []
         owner, at = np.arange(len(starts)), ends.copy()
         while len(owner):
@@ -223,20 +237,32 @@ class Lattice(Speller):
         owner, piece = np.concatenate(owners[::-1]), np.concatenate(pieces[::-1])
         order = np.argsort(owner, kind="stable")
         piece = piece[order]
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(starts)))]) * 4
-        packed = piece.astype(np.int32).tobytes()
-        out = [packed[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        for w in set(owner[order][piece < 0].tolist()):
-            ids: list[int] = []
-            for p in piece[cuts[w] // 4 : cuts[w + 1] // 4].tolist():
-                spelled = [] if p >= 0 else self._spelling(p).encode("utf-8", "surrogatepass")
-                ids += [p] if p >= 0 else [self.bytes.get(b, self.unknown) for b in spelled]
-            out[w] = np.array(ids, np.int32).tobytes()
-        return out
+        # A character that no piece spells becomes its bytes.
+        bare = np.flatnonzero(piece < 0)
+        spelled = [self._spelling(p).encode("utf-8", "surrogatepass") for p in piece[bare].tolist()]
+        wide = np.ones(len(piece), np.int64)
+        wide[bare] = [len(x) for x in spelled]
+        ids = np.repeat(piece, wide).astype(np.int32)
+        ids[np.repeat(piece < 0, wide)] = [self.bytes.get(b, self.unknown) for x in spelled for b in x]
+        return ids, np.bincount(owner[order], weights=wide, minlength=len(starts)).astype(np.int64)
 
     def _spelling(self, piece: int) -> str:
         return self.piece[piece] if piece >= 0 else chr(-piece - 1)
 
+    def stay_apart(self, left: str, right: str) -> bool:
+        """Whether merging leaves two pieces as they are: no best pair ever reaches over both."""
+        parts, border = list(left + right), len(left)
+        while True:
+            ranked = [(self.rank.get(a + b), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+            best = min((r for r in ranked if r[0]), default=None)
+            if best is None:
+                return border == 1 and len(parts) == 2
+            i = best[1]
+            if i == border - 1:
+                return False
+            border -= i < border - 1
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
     def merge(self, text: str) -> list[str]:
         """What merging leaves of a short text: always the best pair, of equal ones the first."""
         parts = list(text)
@@ -267,14 +293,7 @@ def _utf8(data: bytes) -> str:
 
 def _words(text: str) -> list[str]:
     """The parts of a text that begin with a run of spaces."""
-    parts = text.split(_SPACE)
-    words, spaces = ([parts[0]] if parts[0] else []), ""
-    for part in parts[1:]:
-        spaces += _SPACE
-        if part:
-            words.append(spaces + part)
-            spaces = ""
-    return words + [spaces] if spaces else words
+    return _WORD.findall(text)
 
 
 def _suffixes(codes: np.ndarray, letters: int, longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
