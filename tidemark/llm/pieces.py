@@ -15,7 +15,7 @@ from tidemark.llm.common import of_worker, slices, texts
 
 _SPACE = "▁"
 _WORD = re.compile("▁*[^▁]+|▁+")
-_REMEMBERED = 700_000
+_REMEMBERED = 350_000
 # So much of a batch is worked on at once: bytes of text, ids.
 _BYTES_AT_ONCE, _IDS_AT_ONCE = 2_000_000, 400_000
 _WORDS_AT_ONCE = 40_000
