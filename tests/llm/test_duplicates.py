@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import duckdb
 import pytest
@@ -192,8 +193,64 @@ def test_spans_catch_passages_of_long_sentences(spark):
     got = {r.doc_id: r for r in spans.repeated_spans_removed(documents(spark, rows)).collect()}
     assert all(got[i].text == t for i, t in rows if i % 2 == 0)
     assert sum(got[i].n_removed > 0 and got[i].repeats_of == [i - 1] for i, _ in rows if i % 2) >= 36
-    marked = " ".join(some(12)) + " \x01\ufdd0 " + " ".join(some(12))
-    assert spans.repeated_spans_removed(documents(spark, [(1, marked)])).first().text == marked
+
+
+def sentences_of(text):
+    """Sentences by places between characters, long ones cut behind chosen words."""
+    found, start, words = [], 0, 0
+    for i in range(1, len(text) + 1):
+        ended = text[i - 1] == "\n" or (i > 1 and text[i - 1] in " \t\r" and text[i - 2] in ".!?;:,")
+        if ended or i == len(text):
+            found.append(text[start:i])
+            start = i
+            if ended and i == len(text):
+                found.append("")
+    cut = []
+    for sentence in found or [""]:
+        part, words = "", 0
+        spaces = sentence.count(" ")
+        for token in re.split(r"(?<=[ \t\r])(?=[^ \t\r])", sentence):
+            part += token
+            words += bool(token.strip(" \t\r"))
+            key = token.strip(" \t\n\r\x0b\x0c").lower().encode()
+            if spaces >= 8 and words > 8 and zlib.crc32(key) % 5 == 0:
+                cut.append(part)
+                part = ""
+        if part or spaces < 8:
+            cut.append(part)
+    return cut
+
+
+def test_spans_of_long_sentences_equal_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = [f"{c}ord{i}" for i, c in enumerate("wWéÉßİ🙂v" * 40)]
+
+    def some(n):
+        return "".join(rng.choice(vocabulary) + rng.choice([" "] * 30 + [", ", ". ", "\n", "  ", " \t"]) for _ in range(n))
+
+    passages = [some(60) for _ in range(6)]
+    rows = [(i, some(rng.randrange(60)) + (rng.choice(passages) if i % 3 else "") + some(rng.randrange(60))) for i in range(70)]
+    rows += [(100, ""), (101, "x" * 50_000 + " "), (102, " " * 40), (103, some(20_000)), (103, rows[1][1])]
+    got = {(r.doc_id, r.n_sentences): r for r in spans.repeated_spans_removed(documents(spark, rows)).collect()}
+
+    def parts(text):
+        return [p.strip(" \t\n\r\x0b\x0c").lower() for p in sentences_of(text)]
+
+    # Rows of one id are told apart by a hash of their text, which brute force can't order.
+    gone = windows_gone(rows, parts, 3, lambda run: " ".join(run).count(" ") + 1 >= 12)
+    assert len(gone) > 30
+    for i, t in rows:
+        cut = sentences_of(t)
+        assert "".join(cut) == t and spans.pieces(t) == cut
+        r = got[i, len(cut)]
+        assert r.text == "".join(p for k, p in enumerate(cut) if k not in gone.get((i, t), ()))
+        assert r.n_removed == len(gone.get((i, t), ()))
+
+
+def test_spans_cut_texts_with_null_ids_and_keep_odd_bytes(spark):
+    frame = documents(spark, [(None, "a. b. c"), (None, "a. b. c"), (1, None), (2, "a. b")])
+    got = spans.repeated_spans_removed(frame, least_words=1).collect()
+    assert sorted((r.doc_id or 0, r.n_sentences, r.n_removed) for r in got) == [(0, 3, 0), (0, 3, 0), (1, 0, 0), (2, 2, 0)]
 
 
 def test_spans_catch_a_pasted_passage_and_leave_clean_text(spark):

@@ -24,9 +24,6 @@ def later_runs(parts: DataFrame, size: int, counts: Column | None = None) -> Dat
     ``parts`` has ``doc_id, _row, parts`` and no null id. ``counts`` says of the array ``run``
     whether it counts at all. Occurrences are ordered by ``doc_id``, ``_row`` and position.
 
-    One narrow shuffle of 64-bit hashes finds the few that repeat, a second one keeps their
-    rows; what remains is compared by 128 bits. Groupings have partial counts and minima and
-    the joins are plain, so a run that a third of all documents share is split.
     """
     runs = parts.where(F.size("parts") >= size).select(
         "doc_id",
@@ -40,6 +37,16 @@ def later_runs(parts: DataFrame, size: int, counts: Column | None = None) -> Dat
     hashed = runs.select(
         "doc_id", "_row", "at", F.xxhash64("run").alias("k1"), F.xxhash64(F.lit(1), "run").alias("k2")
     )
+    return later_keys(hashed)
+
+
+def later_keys(hashed: DataFrame) -> DataFrame:
+    """``doc_id, _row, at, first``: the rows of ``doc_id, _row, at, k1, k2`` whose keys occur earlier.
+
+    One narrow shuffle of 64-bit hashes finds the few that repeat, a second one keeps their
+    rows; what remains is compared by 128 bits. Groupings have partial counts and minima and
+    the joins are plain, so a run that a third of all documents share is split.
+    """
     repeated = hashed.groupBy("k1").agg(F.count("*").alias("n")).where("n > 1").select("k1")
     again = stored(hashed.join(repeated, "k1", "left_semi"))
     place = F.struct("doc_id", "_row", "at")
