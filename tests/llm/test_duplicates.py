@@ -5,6 +5,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from cases import CLASHING, documents, odd_rows
 
@@ -85,6 +86,28 @@ def test_near_duplicates_equal_brute_force(spark, most):
     assert all(r.kept == (i == expected[i]) for i, r in got.items())
 
 
+def test_near_duplicates_in_buckets_of_several_components(spark, monkeypatch):
+    # With a leader more a round, every rule for leaders and several rounds come into play.
+    monkeypatch.setattr(minhash, "_LEADERS", 2)
+    rng = random.Random(21)
+    rows, base = [], [f"w{rng.random()}" for _ in range(90)]
+    for i in range(150):
+        rows.append((i, edited(base, rng.choice([0, 2, 3, 4, 4, 5, 5, 6]), rng)))
+    rows += [(i, edited(base[:60], 1, rng)) for i in range(140, 170)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert got == brute(rows)
+
+
+def test_occupied_parts_bound_intersections():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 100, 3000):
+        a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for _ in range(2))
+        b[: n // 2] = a[: n // 2]
+        both = np.intersect1d(a, b).size
+        left, right = (minhash.occupied(x).view(np.uint64) for x in (a, b))
+        assert both <= n - np.bitwise_count(left & ~right).sum()
+
+
 @pytest.mark.parametrize("extra", ("class_id",))
 def test_near_duplicates_of_odd_rows(spark, extra):
     frame = documents(spark, odd_rows(), extra)

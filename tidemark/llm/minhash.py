@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import hash_words, map_batches, mixed, shingles, stored, texts, words
@@ -18,6 +18,10 @@ BANDS, ROWS = 60, 6
 # Standard error of the estimate at 0.75 is 0.023: six and a half of them are left as a margin.
 SIGNATURE_SIMILARITY = 0.6
 _BLOCK = 256
+# Which of so many parts of the hash space a set has shingles in bounds what it shares with others.
+_PARTS = 1024
+# Each round looks at so many times as many leaders of a bucket as the one before.
+_LEADERS = 32
 
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -37,11 +41,14 @@ def near_duplicates(
     paired. Classes that share a band of minima form a bucket. Shingles that no other class of
     a bucket has bound the similarity of a class to any other, so classes and pairs that can't
     reach the threshold are left out without looking at them. In a first round each bucket
-    proposes the member with the smallest share of such shingles against all others; later
-    rounds take four times as many leaders each and propose only pairs whose ends are still in
-    different components, until no bucket has such a pair. Every pair of a bucket is therefore
-    verified, out of reach or in one component, and a large group of near copies costs about
-    one pair per member and band. Signatures first and then the full sets confirm each pair.
+    proposes the member with the smallest share of such shingles against all others. In later
+    rounds a bucket's leaders are its members outside its largest component where these are few
+    enough, else members chosen by hash, more of them each round; they propose only pairs whose
+    ends are still in different components, until no bucket has such a pair. Of these, pairs
+    are left out where one set has shingles in too many parts of the hash space in which the
+    other has none. Every pair of a bucket is therefore verified, out of reach or in one
+    component, and a large group of near copies costs about one pair per member and band.
+    Signatures first and then the full sets confirm each pair.
 
     A null or wordless text has an empty set and is linked with nothing. A row without id is
     linked with nothing either; its component is null and it is kept. Rows that share an id
@@ -68,7 +75,8 @@ def near_duplicates(
     rows = documents.join(paired, documents.doc_id == paired.class_id, "left_semi")
     sets = stored(_sets(rows, words_per_shingle))
 
-    found = _linked(_bounded(members, sets, similarity), signatures, sets, similarity)
+    bounds = stored(_bounds(sets, similarity))
+    found = _linked(members, bounds, signatures, sets, similarity)
     named = classes.join(found, classes.class_id == found.node, "left").select(
         "digest", F.coalesce("component", "class_id").alias("component_id")
     )
@@ -143,16 +151,25 @@ def _sets(documents: DataFrame, size: int) -> DataFrame:
             "shingles": pa.ListArray.from_arrays(
                 pa.array(ends), pa.array(np.concatenate(found).view(np.int64))
             ),
+            "parts": pa.array([occupied(f) for f in found], pa.list_(pa.int64())),
         }
 
-    return map_batches(_numbered(documents), "class_id long, shingles array<long>", rows)
+    return map_batches(_numbered(documents), "class_id long, shingles array<long>, parts array<long>", rows)
 
 
-def _bounded(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``members`` that some other class can be similar to, with ``size, common, lone``.
+def occupied(shingle_set: np.ndarray) -> np.ndarray:
+    """A bit for each part of the hash space that has a shingle of the set."""
+    bits = np.zeros(_PARTS, np.uint8)
+    bits[(shingle_set % np.uint64(_PARTS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _bounds(sets: DataFrame, similarity: float) -> DataFrame:
+    """``class_id, size, total, common, lone, parts`` of classes that another can be similar to.
 
     ``common`` counts the shingles that other classes have, too, and bounds every
-    intersection; ``lone`` is the share of the rest.
+    intersection; ``lone`` is the share of the rest. Rows that share an id may have several
+    sets: ``total`` and ``parts`` hold for all of them, ``size`` is that of the smallest.
     """
     owners = (
         sets.select("class_id", F.explode("shingles").alias("shingle"))
@@ -160,24 +177,38 @@ def _bounded(members: DataFrame, sets: DataFrame, similarity: float) -> DataFram
         .agg(F.min("class_id").alias("class_id"), F.max("class_id").alias("last"))
     )
     lone = owners.where("class_id = last").groupBy("class_id").agg(F.count("*").alias("n"))
-    # Rows that share an id may have several sets; their sum bounds each of them.
+    each_part = [F.bit_or(F.col("parts")[i]) for i in range(_PARTS // 64)]
     sizes = sets.groupBy("class_id").agg(
-        F.min(F.size("shingles")).alias("size"), F.sum(F.size("shingles")).alias("total")
+        F.min(F.size("shingles")).alias("size"),
+        F.sum(F.size("shingles")).alias("total"),
+        F.array(*each_part).alias("parts"),
     )
     bounds = sizes.join(lone, "class_id", "left").select(
         "class_id",
         F.col("size").cast("long").alias("size"),
+        "total",
         (F.col("total") - F.coalesce("n", F.lit(0))).alias("common"),
         (F.coalesce("n", F.lit(0)) / F.col("total")).alias("lone"),
+        "parts",
     )
-    reach = F.col("common") * 100 >= F.col("size") * round(similarity * 100)
-    return stored(members.join(bounds.where(reach), "class_id"))
+    return bounds.where(F.col("common") * 100 >= F.col("size") * round(similarity * 100))
 
 
-def _linked(members, signatures, sets, similarity: float) -> DataFrame:
+def _linked(members, bounds, signatures, sets, similarity: float) -> DataFrame:
     """``(node, component)`` of the classes that verified pairs connect."""
     percent = round(similarity * 100)
-    possible = F.expr(f"{100 + percent} * least(a.common, b.common) >= {percent} * (a.size + b.size)")
+
+    def reach(shared: str) -> Column:
+        return F.expr(f"{100 + percent} * ({shared}) >= {percent} * (a.size + b.size)")
+
+    def outside(one: str, other: str) -> str:
+        counts = (f"bit_count({one}.parts[{i}] & ~{other}.parts[{i}])" for i in range(_PARTS // 64))
+        return f"{one}.total - ({' + '.join(counts)})"
+
+    possible = reach("least(a.common, b.common)")
+    near = reach(f"least({outside('a', 'b')}, {outside('b', 'a')})")
+    numbers = bounds.select("class_id", "size", "common", "lone")
+    members = stored(members.join(numbers, "class_id"))
     leader = F.min(F.struct("lone", "class_id", "size", "common")).alias("first")
     firsts = members.groupBy("bucket").agg(leader).select("bucket", "first.*")
     first = [F.col("a.bucket") == F.col("b.bucket"), F.col("a.class_id") != F.col("b.class_id"), possible]
@@ -190,15 +221,17 @@ def _linked(members, signatures, sets, similarity: float) -> DataFrame:
         active = stored(_undecided(active, found))
         if active.isEmpty():
             return found
-        leaders *= 4
+        leaders *= _LEADERS
         share = F.pmod(F.xxhash64("bucket", "class_id"), F.lit(1 << 20)) / float(1 << 20)
-        leading = active.where(share < F.lit(leaders) / F.col("n_members"))
-        apart = [F.col("a.bucket") == F.col("b.bucket"), F.col("a.component") != F.col("b.component"), possible]
-        pairs = _ordered(leading.alias("a").join(active.alias("b"), apart))
+        few = F.col("n_others") <= leaders
+        leads = (few & (F.col("component") != F.col("largest"))) | (~few & (share < F.lit(leaders) / F.col("n_members")))
+        shown = active.join(bounds.select("class_id", "total", "parts"), "class_id")
+        apart = [F.col("a.bucket") == F.col("b.bucket"), F.col("a.component") != F.col("b.component"), possible, near]
+        pairs = _ordered(shown.where(leads).alias("a").join(shown.alias("b"), apart))
         links = _verified(pairs, signatures, sets, similarity)
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(stars.union(links))
-        led = leading.select("bucket", "class_id")
+        led = active.where(leads).select("bucket", "class_id")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -207,15 +240,19 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _undecided(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The buckets whose members are in several components, with the component and their number."""
+    """The buckets whose members are in several components, with the component, the largest one of
+    the bucket, the number of members and of those outside the largest."""
     at = members.join(found, members.class_id == found.node, "left").select(
         *members.columns, F.coalesce("component", "class_id").alias("component")
     )
+    most = F.max(F.struct("n", "component")).alias("most")
     mixed_buckets = (
-        at.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n_members"))
-        .where("low < high")
-        .select("bucket", "n_members")
+        at.groupBy("bucket", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n_members"), most)
+        .select("bucket", "n_members", (F.col("n_members") - F.col("most.n")).alias("n_others"), F.col("most.component").alias("largest"))
+        .where("n_others > 0")
     )
     return at.join(mixed_buckets, "bucket")
 
