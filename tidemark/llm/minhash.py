@@ -229,8 +229,9 @@ def _linked(members, bounds, signatures, sets, similarity: float) -> DataFrame:
         apart = [F.col("a.bucket") == F.col("b.bucket"), F.col("a.component") != F.col("b.component"), possible, near]
         pairs = _ordered(shown.where(leads).alias("a").join(shown.alias("b"), apart))
         links = _verified(pairs, signatures, sets, similarity)
-        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(stars.union(links))
+        if not links.isEmpty():
+            stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = components(stars.union(links))
         led = active.where(leads).select("bucket", "class_id")
 
 
