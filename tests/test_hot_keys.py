@@ -82,6 +82,29 @@ def test_word_running_count(spark, sf_dir):
     _same(lambda n: operators.word_running_count(lines, ["doc_id"], rows_per_piece=n * 10))
 
 
+def test_words_are_counted_in_pieces_of_lines(spark, sf_dir):
+    # Ids that repeat or are null, and lines without words.
+    lines = views.lines(spark, sf_dir).withColumns(
+        {
+            "doc_id": F.expr("case when doc_id in (40, 80) then null when doc_id = 60 then 35 else doc_id end"),
+            "text": F.expr("case when doc_id % 7 = 0 then ' -- ' when doc_id % 11 = 0 then null else text end"),
+        }
+    )
+    plain = operators.word_running_count(lines, ["doc_id"])
+    cut = operators.word_running_count(lines, ["doc_id"], kb_per_piece=100)
+    assert "CoGroupsInArrow" in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert cut.schema == plain.schema
+    assert rows(cut) == rows(plain) != []
+
+
+def test_words_of_lines_that_no_cut_parts(spark, sf_dir):
+    lines = views.lines(spark, sf_dir).where("doc_id % 10 = 0").withColumn("doc_id", F.lit(1))
+    plain = operators.word_running_count(lines, ["doc_id"])
+    cut = operators.word_running_count(lines, ["doc_id"], kb_per_piece=10)
+    assert "CoGroupsInArrow" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(cut) == rows(plain)
+
+
 def test_pieces_are_balanced_and_in_order(cars):
     hot = find_hot_keys(cars, ["car_id"], ["ts", "event_id"], CUT)
     pieces = ordered(cars, ["car_id"], ["ts", "event_id"], hot).df

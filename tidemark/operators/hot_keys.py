@@ -154,6 +154,11 @@ def ordered(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys | Non
     return Ordered(df, list(keys), list(order), hot is not None)
 
 
+def cut_in_pieces(df: DataFrame, order: list[str], hot: HotKeys) -> DataFrame:
+    """All of ``df`` as one sequence: ``__piece`` is the number of the piece of each row."""
+    return _with_piece(df, [], order, hot).drop(_HOT)
+
+
 def _with_piece(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> DataFrame:
     table = df.sparkSession.createDataFrame(hot.cuts)
     longest = max(len(c) for c in hot.cuts[_CUTS])
