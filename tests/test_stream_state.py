@@ -231,6 +231,16 @@ def test_words_change_by_change(spark, feed):
     assert rows(out, *columns) == rows(want, *columns) and out.schema["line"].dataType.typeName() == "integer"
 
 
+def test_words_go_through_the_steps_as_lines(spark, feed):
+    lines = spark.createDataFrame([(1, "to be to"), (1, "be to to"), (None, "to"), (2, " - ")], "line int, text string")
+    stream = streaming.word_running_count_stream(feed(lines), "line")
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert plan.index("Generate") < plan.index("TransformWithState") and plan.count("Generate") == 1
+    out = run_appending(stream, chained=True)
+    want = operators.word_running_count(lines.where("line is not null"), ["line"])
+    assert rows(out, "line", "pos", "word", "cnt") == rows(want, "line", "pos", "word", "cnt")
+
+
 def test_panes_give_the_same_places_with_less_state(spark, tmp_path, sf_dir):
     rides = views.rides(spark, sf_dir)
     frames = [rides.where(f"ride_id between {i * 250} and {i * 250 + 249}") for i in range(4)]
