@@ -6,6 +6,7 @@ import re
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from cases import documents, odd_rows
@@ -206,6 +207,35 @@ def test_walks_meet_items_at_the_limit_of_edits(n):
     assert (own == seen).any(axis=1).sum() >= 95
 
 
+def test_many_words_are_walked_at_once(monkeypatch):
+    calls, keys = [], decontaminate.lsh_keys
+    monkeypatch.setattr(decontaminate, "lsh_keys", lambda *given: calls.append(given[3]) or keys(*given))
+    rng = np.random.default_rng(1)
+    hashed = [rng.integers(0, 2**62, 10_000).astype(np.uint64) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(range(60)), pa.array([b""] * 60)], ["a", "b", "c"])
+    given = iter(hashed)
+    monkeypatch.setattr(decontaminate, "item_words", lambda text: next(given))
+    runs = np.zeros(1 << 23, bool)
+    for found in hashed:
+        runs[decontaminate.run_bits(found[:50])] = True
+    for part in decontaminate._parts(batch):
+        list(decontaminate._near(part, runs, np.zeros(1 << 23, bool), [0, 5], 0.2))
+    assert calls == [0, 5]
+
+
+def test_edit_distance_of_long_sequences():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 64, 65, 200):
+        x, y = (rng.integers(0, 9, n + k).astype(np.uint64) for k in (0, 3))
+        table = np.arange(len(y) + 1)
+        for i, symbol in enumerate(x):
+            row = [i + 1]
+            for j, other in enumerate(y):
+                row.append(min(row[-1] + 1, table[j + 1] + 1, table[j] + (symbol != other)))
+            table = np.array(row)
+        assert decontaminate.distance(x, y) == decontaminate.distance(y, x) == table[-1]
+
+
 def test_edit_distance():
     rng = random.Random(1)
     for _ in range(200):
