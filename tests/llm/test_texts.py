@@ -42,6 +42,19 @@ def test_pieces_equal_the_library_and_decode(spark):
     assert pieces.encoded(documents(spark, rows).limit(0), path).count() == 0
 
 
+def test_many_lists_are_spelled_at_once():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, speller = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Speller(path)
+    marks = [speller.bytes[b] for b in "▁é".encode()]
+    lists = [model.encode("to be  or not "), [], None, [speller.unknown, 700], marks, marks[:4], [0, 1, 2, 500]]
+    lists += [[marks[3], 700, marks[4]], [*marks, 700], model.encode("\u2603 ▁ x")]
+    found = pa.array(lists, pa.list_(pa.int32()))
+    assert speller.decode_all(found).to_pylist() == [speller.decode(ids or []) for ids in lists]
+    assert speller.decode_all(found.slice(3, 4)).to_pylist() == [speller.decode(ids) for ids in lists[3:7]]
+    with pytest.raises(Exception):
+        speller.decode_all(pa.array([[model.get_piece_size()]], pa.list_(pa.int32())))
+
+
 def test_pieces_spell_broken_bytes_like_the_library():
     path = public_tokenizers.path("piece_bpe_32k.model")
     library, lattice = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Lattice(path)

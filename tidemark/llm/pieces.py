@@ -7,6 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,10 +65,8 @@ def decoded(encoded_rows: DataFrame, model_path: str) -> DataFrame:
         speller = _kept("speller", model_path, Speller)
         for batch in batches:
             for part in slices(batch, "ids", _IDS_AT_ONCE):
-                found = [speller.decode(ids or []) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(found, pa.string())], names=[*others, "text"]
-                )
+                found = speller.decode_all(part.column("ids"))
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*others, "text"])
 
     return encoded_rows.select(others).mapInArrow(run, f"{fields}, text string")
 
@@ -86,6 +85,29 @@ class Speller:
         self.piece = {i: model.id_to_piece(i) for i in range(size) if i not in special}
         self.scores = {i: model.get_score(i) for i in self.piece}
         self.plain = self.piece | dict.fromkeys(self.silent, "")
+        spelled = {i: p.encode() for i, p in self.plain.items()} | {i: bytes([b]) for i, b in self.byte_of.items()}
+        self.spelled = pa.array([spelled.get(i) for i in range(size)], pa.large_binary())
+        self.bare = np.array([i in self.byte_of for i in range(size)])
+
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """What each list of ids spells: the spellings stand one behind the other as they are taken."""
+        flat = lists.flatten()
+        taken = self.spelled.take(flat)
+        ends = np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False))
+        _, offsets, data = taken.buffers()
+        cuts = np.frombuffer(offsets, np.int64)[np.concatenate([[0], ends])]
+        odd = self.bare[pc.fill_null(flat, self.unknown).to_numpy(zero_copy_only=False)]
+        odd |= taken.is_null().to_numpy(zero_copy_only=False)
+        hard = {}
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(odd), side="right")).tolist():
+            if not _is_utf8(data[cuts[i] : cuts[i + 1]]) or taken[int(ends[i - 1]) if i else 0 : int(ends[i])].null_count:
+                hard[i] = self.decode(lists[i].as_py())
+        texts = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(cuts), data])
+        if hard:
+            texts = pa.array([hard[i].encode() if i in hard else t.as_py() for i, t in enumerate(texts)], pa.large_binary())
+        marked = texts.cast(pa.large_string())
+        begun = pc.if_else(pc.starts_with(marked, _SPACE), pc.utf8_slice_codeunits(marked, 1), marked)
+        return pc.replace_substring(begun, _SPACE, " ").cast(pa.string())
 
     def decode(self, ids: list[int]) -> str:
         found = list(map(self.plain.get, ids))
@@ -275,6 +297,14 @@ class Lattice(Speller):
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
+def _is_utf8(data: pa.Buffer) -> bool:
+    try:
+        data.to_pybytes().decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 def _utf8(data: bytes) -> str:
     out, i = [], 0
     while i < len(data):
