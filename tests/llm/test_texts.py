@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -230,6 +231,30 @@ def test_what_a_worker_keeps_outlives_a_task(spark):
     assert max(counts) > 1
 
 
+def test_a_worker_lets_go_of_what_another_step_kept(spark):
+    from tidemark.llm.common import map_batches, of_worker
+
+    of_worker("a step")["large"] = 1
+    assert of_worker("a step") == {"large": 1}
+    of_worker("the next step")
+    assert of_worker("a step") == {}
+
+    def keeping(batches):
+        of_worker("a step")["large"] = 1
+        yield from batches
+
+    def looking(batch):
+        # What there is under any name when a step begins that keeps nothing.
+        kept = vars(sys.modules["tidemark_of_worker"])
+        names = [n for n, v in kept.items() if isinstance(v, dict) and n != "kept" and not n.startswith("__")]
+        return {"n": pa.array([len(names) + sum(map(len, kept.get("kept", {}).values()))] * batch.num_rows)}
+
+    for _ in range(3):
+        spark.range(0, 320, 1, 32).mapInArrow(keeping, "id long").collect()
+        found = map_batches(spark.range(0, 320, 1, 32), "n long", looking).collect()
+        assert {r.n for r in found} == {0}
+
+
 @pytest.mark.parametrize("most", [1, 5, 10_000])
 def test_slices_are_bounded_and_whole(most):
     batch = pa.RecordBatch.from_arrays([pa.array([b"ab", None, b"", b"abcdefg", b"a", b"b"])], ["text"])

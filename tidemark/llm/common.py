@@ -51,11 +51,17 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
-def map_batches(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict]) -> DataFrame:
-    """``rows`` turns a batch into columns by name; batches are bounded by Spark's Arrow limits."""
+def map_batches(
+    df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict], keeps: str = ""
+) -> DataFrame:
+    """``rows`` turns a batch into columns by name; batches are bounded by Spark's Arrow limits.
+
+    ``keeps`` names what it keeps by :func:`of_worker`; what others have kept is let go.
+    """
     names = [part.split()[0] for part in _fields(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_worker(keeps)
         for batch in batches:
             if batch.num_rows:
                 out = rows(batch)
@@ -82,13 +88,21 @@ _HOLDER = "tidemark_of_worker"
 
 
 def of_worker(name: str) -> dict:
-    """A dictionary that lasts as long as the Python worker does.
+    """A dictionary that lasts until the Python worker ends or turns to another name.
 
     Functions travel by value, so the variables of their modules are made anew for every task;
-    what takes long to make is kept in a module that is found by its name instead.
+    what takes long to make is kept in a module that is found by its name instead. Spark hands
+    idle workers from one job to the next, so what was kept under any other name is let go:
+    otherwise the caches of all steps of a session would add up in each worker.
     """
     holder = sys.modules.setdefault(_HOLDER, types.ModuleType(_HOLDER))
-    return vars(holder).setdefault(name, {})
+    kept = vars(holder).setdefault("kept", {})
+    others = kept.keys() - {name}
+    for other in others:
+        del kept[other]
+    if others:
+        pa.default_memory_pool().release_unused()
+    return kept.setdefault(name, {})
 
 
 def _fields(schema: str) -> list[str]:

@@ -195,7 +195,7 @@ def _indexed(benchmark: DataFrame) -> DataFrame:
 
     schema = "item_id long, item_row long, words binary, keys array<long>, length_class int"
     numbered = benchmark.withColumns({"item_id": F.col("item_id").cast("long"), "item_row": F.xxhash64("text")})
-    return map_batches(texts(numbered, "item_id", "item_row"), schema, rows)
+    return map_batches(texts(numbered, "item_id", "item_row"), schema, rows, "walks")
 
 
 def _filters(items: DataFrame) -> tuple[bytes, bytes, list[int]]:

@@ -379,7 +379,7 @@ def _low(key: int, shift: int) -> int:
 
 def _kept(kind: str, path: str, make):
     """What was made of a model, once per Python worker."""
-    made = of_worker(f"pieces {kind}")
-    if path not in made:
-        made[path] = make(path)
-    return made[path]
+    made = of_worker("pieces")
+    if (kind, path) not in made:
+        made[kind, path] = make(path)
+    return made[kind, path]

@@ -59,7 +59,7 @@ def token_counts(documents: DataFrame, tokenizer_path: str, cache_path: str) ->
     )
     same = rows.doc_id.eqNullSafe(misses.miss_id) & (F.xxhash64(rows.text) == misses.miss_row)
     texts = rows.join(misses, same).select("content", F.col("text").cast("binary").alias("text"))
-    counted = map_batches(texts, "content binary, n_tokens long", _counted(tokenizer_path))
+    counted = map_batches(texts, "content binary, n_tokens long", _counted(tokenizer_path), "tokenizers")
     # Rows that repeat, id and all, may come to several tasks.
     new = stored(counted.dropDuplicates(["content"]))
     if not new.isEmpty():
